@@ -2,38 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_PARTS = 500  # a key is hot from 1/500 of the rows on: at most 500 keys can be
 
 
-def hot_keys(rows: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
+def hot_keys(rows: DataFrame, key: str, parts: int = HOT_PARTS) -> list:
     """Keys that hold at least one ``parts``-th of the rows with a non-null key.
 
-    The result has at most ``parts`` rows, whatever the input, so it may be
-    broadcast. Counts are combined before the shuffle.
+    There are at most ``parts`` of them, whatever the input, so they may stand
+    on the driver and be broadcast. Counts are combined before the shuffle.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    # two aggregations of one exchange; the total is a single row
-    total = counts.agg(F.sum("__n").alias("__all"))
-    return counts.crossJoin(F.broadcast(total)).where(F.col("__n") * parts >= F.col("__all")).select(key)
+    some = rows.select(key).where(F.col(key).isNotNull())
+    total = some.count()
+    counts = some.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return [r[0] for r in counts.where(F.col("__n") * parts >= total).select(key).collect()] if total > parts else []
 
 
-def look_up(rows: DataFrame, key: str, table: DataFrame, how: str = "left", parts: int = HOT_PARTS, hot: DataFrame | None = None) -> DataFrame:
+def _few_rows(rows: DataFrame, key: str, values: list) -> DataFrame:
+    """A relation of few values, made in the JVM."""
+    one = lambda v: F.struct(*[F.lit(v[f]).alias(f) for f in v.__fields__]) if isinstance(v, Row) else F.lit(v)
+    each = F.array(*[one(v) for v in values]).cast(T.ArrayType(rows.schema[key].dataType))
+    return rows.sparkSession.range(1).select(F.explode(each).alias(key))
+
+
+def look_up(rows: DataFrame, key: str, table: DataFrame, how: str = "left", parts: int = HOT_PARTS, hot: list | None = None) -> DataFrame:
     """Join ``rows`` to ``table`` (unique, non-null ``key``) without skew.
 
     Hot keys of ``rows`` meet their few table rows in a broadcast join; the
-    other rows go through a shuffle. ``how`` is "left" or "inner". Both inputs
-    should be cheap to read twice. A null key finds nothing. Columns other
-    than the key must not clash.
+    other rows go through a shuffle. ``how`` is "left" or "inner". ``hot`` are
+    the hot keys where the caller knows them, at most ``parts``; otherwise the
+    rows are counted first, so they should be cheap to read twice. A null key
+    finds nothing. Columns other than the key must not clash.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
     hot = hot_keys(rows, key, parts) if hot is None else hot
-    hot_table = table.join(F.broadcast(hot), key, "left_semi")
-    marked = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left")
     names = [*rows.columns, *(c for c in table.columns if c != key)]
+    if not hot:
+        return rows.join(table, key, how).select(*names)
+    few = _few_rows(rows, key, hot)
+    hot_table = table.join(F.broadcast(few), key, "left_semi")
+    marked = rows.join(F.broadcast(few.withColumn("__hot", F.lit(True))), key, "left")
     warm = marked.where("__hot").drop("__hot").join(F.broadcast(hot_table), key, how)
     cold = marked.where("__hot is null").drop("__hot").join(table, key, how)
     return warm.select(*names).unionByName(cold.select(*names))
