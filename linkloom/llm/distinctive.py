@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def distinct_rows(rows: DataFrame, row_id: str, *columns: str) -> DataFrame:
-    """Rows with the same id once (they have the same content), keyed by the id alone, so that no hot value gathers."""
-    return rows.select(row_id, *columns).dropDuplicates([row_id]).select(*columns)
+from ..operators.lookup import HOT_PARTS, look_up
+from ..session import materialize
 
 
 def score_terms(rows: DataFrame, record: str, term: str, count: str, row_id: str | None = None, c: float = 1.0) -> DataFrame:
@@ -30,11 +28,17 @@ def score_terms(rows: DataFrame, record: str, term: str, count: str, row_id: str
     rows = rows.where((F.trim(F.col(f"`{record}`")) != "") & F.col(f"`{term}`").isNotNull())
     if row_id:
         rows = rows.dropDuplicates([row_id])
-    tf = rows.select(r, t, n).groupBy("__r", "__t").agg(F.sum("__n").alias("tf"))
-    records = tf.groupBy("__r").agg(F.sum("tf").alias("record_total"))
+    # written once: the totals and the scores all start from it
+    tf = materialize(rows.select(r, t, n).groupBy("__r", "__t").agg(F.sum("__n").alias("tf")))
+    records = tf.groupBy("__r").agg(F.sum("tf").alias("record_total"), F.count(F.lit(1)).alias("__terms"))
     terms = tf.groupBy("__t").agg(F.sum("tf").alias("term_total"), F.count(F.lit(1)).alias("record_count"))
     whole = records.agg(F.count(F.lit(1)).alias("__records"), F.avg("record_total").alias("__mean"))
-    all_ = tf.join(terms, "__t").join(records, "__r").crossJoin(F.broadcast(whole))
+    # at most HOT_PARTS keys can hold a HOT_PARTS-th of the cells
+    cells = tf.count()
+    hot_terms = [x[0] for x in terms.where(F.col("record_count") * HOT_PARTS >= cells).select("__t").collect()]
+    hot_records = [x[0] for x in records.where(F.col("__terms") * HOT_PARTS >= cells).select("__r").collect()]
+    all_ = look_up(tf, "__t", terms, "inner", hot=hot_terms)
+    all_ = look_up(all_, "__r", records.drop("__terms"), "inner", hot=hot_records).crossJoin(F.broadcast(whole))
     tfn = F.col("tf") * F.log2(1 + F.lit(c) * F.col("__mean") / F.col("record_total"))
     lam = F.col("term_total") / F.col("__records")
     score = (F.log2(1 + lam) + tfn * F.log2((1 + lam) / lam)) / (tfn + 1)
