@@ -30,7 +30,7 @@ IGNORABLE = {"͏", "ᅟ", "ᅠ", "឴", "឵", *map(chr, range(0xFE00, 0xFE10)),
 # These change a shape although Unicode's compatibility forms drop it, so they stay as they are.
 _KEEP = {"<super>", "<sub>", "<fraction>", "<circle>", "<square>", "<vertical>"}
 
-PLAIN = r"^[ -~]*$"  # printable ASCII: looks of these characters all differ
+PLAIN = r"\A[ -~]*\z"  # printable ASCII: looks of these characters all differ
 
 
 def char_look(c: str) -> str:
@@ -123,26 +123,30 @@ class Trie:
         return cost, -weight, spelling
 
 
-def canonical_spellings(rows: DataFrame, text: str, shards: int = 4096) -> DataFrame:
+def canonical_spellings(rows: DataFrame, text: str, shards: int = 4096, vocabulary: DataFrame | None = None) -> DataFrame:
     """(``text``, ``canonical``) for every distinct non-plain value; plain values stand for themselves.
 
-    Clean spellings (those the table leaves as they are) form the vocabulary.
-    A shard holds the values whose looks agree in length and ends, so all
-    spellings of one look meet in it; only shards with something to look up
-    are built. An empty string and a null are plain.
+    Clean spellings (those the table leaves as they are) of ``vocabulary``, by
+    default the rows themselves, form the vocabulary. A shard holds the values
+    whose looks agree in length and ends, so all spellings of one look meet in
+    it; only shards with something to look up are built. An empty string and a
+    null are plain.
     """
     t = F.col(f"`{text}`")
-    counts = rows.select(t.alias("value")).where("value is not null").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(counts.withColumn("plain", F.col("value").rlike(PLAIN)))
+
+    def counted(df: DataFrame, plain: bool) -> DataFrame:
+        values = df.select(t.alias("value")).where(F.col("value").rlike(PLAIN) if plain else ~F.col("value").rlike(PLAIN))
+        return values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
     look = F.pandas_udf(lambda s: s.map(normalize_look), T.StringType())
-    other = materialize(counts.where("not plain").select("value", "n", look("value").alias("look")))
+    other = materialize(counted(rows, False).select("value", "n", look("value").alias("look")))
 
     def shard(c: Column) -> Column:
         return F.pmod(F.xxhash64(F.length(c), F.substring(c, 1, 3), F.substring(c, -5, 5)), F.lit(shards))
 
     asked = other.withColumn("shard", shard(F.col("look")))
     # Only vocabulary of looks that are asked for need be in a trie.
-    clean = counts.where("plain").select("value", "n").join(other.select(F.col("look").alias("value")).distinct(), "value", "left_semi")
+    clean = counted(rows if vocabulary is None else vocabulary, True).join(other.select(F.col("look").alias("value")).distinct(), "value", "left_semi")
     clean = clean.withColumn("shard", shard(F.col("value"))).unionByName(asked.where("value = look").select("value", "n", "shard"))
     both = asked.select("shard", "value", F.col("look"), "n", F.lit(False).alias("clean")).unionByName(clean.select("shard", "value", F.col("value").alias("look"), "n", F.lit(True).alias("clean")))
 
@@ -167,7 +171,7 @@ def canonical_spellings(rows: DataFrame, text: str, shards: int = 4096) -> DataF
     return parts.mapInPandas(run, "value string, canonical string").select(F.col("value").alias(text), "canonical")
 
 
-def consistent_form(rows: DataFrame, *columns: str, suffix: str = "_form") -> DataFrame:
+def consistent_form(rows: DataFrame, *columns: str, suffix: str = "_form", vocabulary: DataFrame | None = None) -> DataFrame:
     """Add ``<column><suffix>`` with the consistent form of each column.
 
     Rows, order of columns and extra columns stay; a null stays null; columns
@@ -181,7 +185,7 @@ def consistent_form(rows: DataFrame, *columns: str, suffix: str = "_form") -> Da
         rows = rows.drop(form)
         names = rows.columns
         plain = F.coalesce(F.col(f"`{column}`").rlike(PLAIN), F.lit(True))
-        forms = materialize(canonical_spellings(rows, column).select(F.col(f"`{column}`").alias("__value"), F.col("canonical").alias("__form")))
+        forms = materialize(canonical_spellings(rows, column, vocabulary=vocabulary).select(F.col(f"`{column}`").alias("__value"), F.col("canonical").alias("__form")))
         done = rows.where(plain).withColumn(form, F.col(f"`{column}`"))
         # plain values keep their place; the others are looked up apart, hot ones by broadcast
         other = look_up(rows.where(~plain).withColumn("__value", F.col(f"`{column}`")), "__value", forms)
@@ -199,21 +203,33 @@ def same_look_pairs(rows: DataFrame, row_id: str, columns: list[str], block: int
     whole group. Every pair that comes out is one that was asked for: rows of
     one spelling never meet.
     """
-    rows = rows.select(row_id, *columns).dropna().dropDuplicates([row_id])
-    formed = materialize(consistent_form(materialize(rows), *columns, suffix="__form"))
-    looks = [F.col(f"{c}__form") for c in columns]
-    spelling = formed.groupBy(*columns).agg(*[F.first(f"{c}__form").alias(f"{c}__form") for c in columns], F.count(F.lit(1)).alias("n"))
-    spelling = spelling.withColumn("look", F.xxhash64(*looks)).withColumn("spelling", F.struct(*columns))
-    group = spelling.groupBy(*[f"{c}__form" for c in columns]).agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    spelling = materialize(spelling.join(group, [f"{c}__form" for c in columns], "left_semi").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")))
+    rows = rows.select(row_id, *columns).dropna()
+    each = [F.xxhash64(c).alias(f"h{i}") for i, c in enumerate(columns)]
+    hashes = F.struct(*each)  # stands for a spelling: 64 bits per column
+    ids = rows.select(F.col(row_id).alias("id"), *each).dropDuplicates(["id"])
+    ids = materialize(ids.select("id", F.struct(*[f"h{i}" for i in range(len(columns))]).alias("spelling")))
+    spelled = materialize(rows.select(*columns).distinct())
+    plain = F.lit(True)
+    for c in columns:
+        plain = plain & F.col(c).rlike(PLAIN)
+    # A group has two spellings only if one of them isn't plain: plain spellings count where they are such a one's form.
+    names = [f"{c}__form" for c in columns]
+    odd = materialize(consistent_form(spelled.where(~plain), *columns, suffix="__form", vocabulary=spelled).select(hashes.alias("spelling"), *names))
+    met = spelled.where(plain).select(hashes.alias("spelling"), *[F.col(c).alias(n) for c, n in zip(columns, names)])
+    met = met.join(odd.select(*names).distinct(), names, "left_semi").select("spelling", *names)
+    both = materialize(odd.unionByName(met))
+    several = both.groupBy(*names).agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    spelling = materialize(both.join(several, names, "left_semi"))
     # rows of spellings that have a partner, each with its block; a spelling may hold many rows
-    mine = look_up(formed.select(row_id, F.struct(*columns).alias("spelling")), "spelling", spelling.select("spelling", "blocks"), "inner")
-    mine = mine.select(F.col(row_id).alias("id"), F.struct("spelling", F.pmod(F.xxhash64(row_id), F.col("blocks")).cast("int").alias("block")).alias("cell"))
-    mine = materialize(mine)
-    cut = spelling.select(*[f"{c}__form" for c in columns], F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "spelling")
-    cut = cut.select(*[f"{c}__form" for c in columns], F.struct("spelling", "block").alias("cell"))
-    other = cut.select(*[f"{c}__form" for c in columns], F.col("cell").alias("cell_b"))
-    cells = cut.withColumnRenamed("cell", "cell_a").join(other, [f"{c}__form" for c in columns]).where("cell_a.spelling < cell_b.spelling").select("cell_a", "cell_b")
+    mine = materialize(look_up(ids, "spelling", spelling.select("spelling"), "inner"))
+    sizes = mine.groupBy("spelling").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    spelling = materialize(spelling.join(sizes, "spelling"))
+    mine = look_up(mine, "spelling", spelling.select("spelling", "blocks"), "inner")
+    mine = materialize(mine.select("id", F.struct("spelling", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).alias("cell")))
+    cut = spelling.select(*names, F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "spelling")
+    cut = cut.select(*names, F.struct("spelling", "block").alias("cell"))
+    other = cut.select(*names, F.col("cell").alias("cell_b"))
+    cells = cut.withColumnRenamed("cell", "cell_a").join(other, names).where("cell_a.spelling < cell_b.spelling").select("cell_a", "cell_b")
     left = cells.join(mine.select(F.col("id").alias("x"), F.col("cell").alias("cell_a")), "cell_a").select("x", "cell_b")
-    met = left.join(mine.select(F.col("id").alias("y"), F.col("cell").alias("cell_b")), "cell_b")
-    return met.select(F.least("x", "y").alias(f"{row_id}_a"), F.greatest("x", "y").alias(f"{row_id}_b"))
+    pairs = left.join(mine.select(F.col("id").alias("y"), F.col("cell").alias("cell_b")), "cell_b")
+    return pairs.select(F.least("x", "y").alias(f"{row_id}_a"), F.greatest("x", "y").alias(f"{row_id}_b"))
