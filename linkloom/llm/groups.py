@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import look_up
+from ..operators.lookup import HOT_PARTS, look_up
 from ..session import materialize
 
-BETA = 0.4  # rate of the exponential shifts; clusters have a radius of about ln(n) / BETA
-RADIUS = 2  # steps that a cluster may grow in one round
+BETA = 0.1  # rate of the exponential shifts: about the share of edges that a round leaves
+RADIUS = 3  # steps that a cluster may grow in one round
 
 
 def _shift(vertex: Column | str, level: int, beta: float) -> Column:
@@ -41,14 +41,11 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, radiu
     edges = pairs.select(F.col(f"`{a}`").alias("u"), F.col(f"`{b}`").cast(kind).alias("v")).where("u <> v")
     edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     levels: list[DataFrame] = []
-    while True:
-        if edges.isEmpty():
-            break
+    while n := edges.count():
         if len(levels) >= max_rounds:
             raise RuntimeError(f"edges are left after {max_rounds} rounds")
-        labels = _decompose(edges, len(levels), beta, radius)
+        labels, edges = _decompose(edges, n, len(levels), beta, radius)
         levels.append(labels)
-        edges = _contract(edges, labels)
     if not levels:
         return edges.select(F.col("u").alias("member"), F.col("v").alias("group"))
     done = levels[-1]
@@ -60,28 +57,26 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, radiu
     return look_up(done, "cluster", least, "inner").select(F.col("vertex").alias("member"), "group")
 
 
-def _decompose(edges: DataFrame, level: int, beta: float, radius: int) -> DataFrame:
-    """(vertex, cluster) after ``radius`` steps of growth."""
+def _decompose(edges: DataFrame, n: int, level: int, beta: float, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(vertex, cluster) after ``radius`` steps of growth, and the edges between clusters, each once."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # The first step needs no join: the neighbours' shifts follow from their names.
-    first = both.groupBy("u").agg(F.max(F.struct((_shift("v", level, beta) - 1).alias("reach"), F.col("v").alias("cluster"))).alias("best"))
+    near = F.struct((_shift("v", level, beta) - 1).alias("reach"), F.col("v").alias("cluster"))
+    first = both.groupBy("u").agg(F.max(near).alias("best"), F.count(F.lit(1)).alias("degree"))
     own = F.struct(_shift("u", level, beta).alias("reach"), F.col("u").alias("cluster"))
-    labels = materialize(first.select(F.col("u").alias("vertex"), F.greatest("best", own).alias("best")).select("vertex", "best.reach", "best.cluster"))
+    labels = materialize(first.select(F.col("u").alias("vertex"), "degree", F.greatest("best", own).alias("best")).select("vertex", "degree", "best.reach", "best.cluster"))
+    # degrees add up to 2 n, so few vertices can be hot
+    hot = [r.vertex for r in labels.where(F.col("degree") * HOT_PARTS >= 2 * n).select("vertex").collect()] if n > HOT_PARTS else []
     for _ in range(radius - 1):
-        near = look_up(both, "v", labels.withColumnRenamed("vertex", "v"), "inner")
+        near = look_up(both, "v", labels.select(F.col("vertex").alias("v"), "reach", "cluster"), "inner", hot=hot)
         came = near.groupBy("u").agg(F.max(F.struct((F.col("reach") - 1).alias("reach"), "cluster")).alias("came"))
         grown = came.withColumnRenamed("u", "vertex").join(labels, "vertex")
         best = F.greatest("came", F.struct("reach", "cluster"))
         labels = materialize(grown.select("vertex", best.alias("best")).select("vertex", "best.reach", "best.cluster"))
-    return labels.select("vertex", "cluster")
-
-
-def _contract(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Edges between clusters, each once."""
-    left = look_up(edges, "u", labels.select(F.col("vertex").alias("u"), F.col("cluster").alias("cu")), "inner")
-    right = look_up(left.select("cu", "v"), "v", labels.select(F.col("vertex").alias("v"), F.col("cluster").alias("cv")), "inner")
+    left = look_up(edges, "u", labels.select(F.col("vertex").alias("u"), F.col("cluster").alias("cu")), "inner", hot=hot)
+    right = look_up(left.select("cu", "v"), "v", labels.select(F.col("vertex").alias("v"), F.col("cluster").alias("cv")), "inner", hot=hot)
     between = right.where("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v"))
-    return materialize(between.distinct())
+    return labels.select("vertex", "cluster"), materialize(between.distinct())
 
 
 def title_key(title: Column) -> Column:
