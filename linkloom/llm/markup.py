@@ -72,6 +72,7 @@ _GROUP = re.compile(
     re.S | re.M | re.X | re.I,
 )
 _LIST_TAG = re.compile(r"<(/?)(?:ul|ol|dl)\b[^>]*>", re.I)
+_LI_END = re.compile(r"</(?:li|dt|dd)\s*>", re.I)
 _LI = re.compile(r"<(?:li|dt|dd)\b[^>]*>", re.I)
 _WIKI_HEAD = re.compile(r"^[ \t]*(={1,6})[ \t]*(?P<h>[^=\s](?:[^\n]*?[^=\s])?)[ \t]*\1[ \t]*$")
 _ATX = re.compile(r"^ {0,3}(#{1,6})[ \t]+(?P<h>\S[^\n]*?)[ \t]*#*[ \t]*$")
@@ -177,7 +178,7 @@ class _Reader:
                     if depth == 0:
                         end = t.end()
                         break
-                body = _LIST_TAG.sub(" ", text[m.start() : end])
+                body = _LI_END.sub("", _LIST_TAG.sub(" ", text[m.start() : end]))
                 items = [x for x in _LI.split(body)[1:]]
                 out.append(self._list(items, "ol" if d["hlist"][1:3].lower() == "ol" else "ul"))
             elif d["llist"] is not None:
