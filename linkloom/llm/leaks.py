@@ -77,7 +77,7 @@ def _hits_near(docs: DataFrame, kind: str, vocabulary: dict[str, int], seeds: np
                     ids.append(i)
                     texts.append(t)
                     hits.append([{"dpos": int(x), "seed": int(y)} for x, y in zip(at[ok], s[ok])])
-            yield pd.DataFrame({"doc": ids, "text": texts, "hits": hits})
+            yield pd.DataFrame({"doc": ids, "text": texts, "hits": hits}, dtype=object)
 
     return docs.mapInPandas(run, f"doc {kind}, text string, hits array<struct<dpos:int,seed:bigint>>")
 

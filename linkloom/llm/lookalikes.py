@@ -165,7 +165,7 @@ def canonical_spellings(rows: DataFrame, text: str, shards: int = 4096, vocabula
                 found = trie.walk(value)
                 values.append(value)
                 out.append(found[2] if found else lk)
-            yield pd.DataFrame({"value": values, "canonical": out})
+            yield pd.DataFrame({"value": values, "canonical": out}, dtype=object)
 
     parts = both.repartition("shard").sortWithinPartitions("shard", F.substring("look", 1, 6), F.desc("clean"), "value")
     return parts.mapInPandas(run, "value string, canonical string").select(F.col("value").alias(text), "canonical")
