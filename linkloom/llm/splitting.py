@@ -28,13 +28,14 @@ def split_text(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, r
     The fewest pieces that can hold the text get targets of equal length; each
     target moves to the strongest boundary within ``reach`` of a piece, the
     nearest of the strongest. A piece repeats the last ``overlap`` tokens
-    before its cut. If any piece is over the limit, one more piece is tried.
+    before its cut. If any piece is over the limit, more pieces are tried; a
+    text that four times as many can't hold keeps half the overlap.
     """
     ends = tokens.ends(text)
     n = len(ends)
     if n <= limit:
         return [(0, len(text), n)]
-    pieces = -(-(n - overlap) // (limit - overlap))
+    pieces = least = -(-(n - overlap) // (limit - overlap))
     while True:
         length = (n + (pieces - 1) * overlap) / pieces
         room = max(1, int(min(reach * length, max(1.0, limit - length) if pieces > 1 else length)))
@@ -55,9 +56,24 @@ def split_text(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, r
         sizes = [tokens.count(text[a:b]) for a, b in spans]
         if max(sizes) <= limit and all(a < b for a, b in spans):
             return [(a, b, s) for (a, b), s in zip(spans, sizes)]
-        if pieces >= n:
-            return [(a, b, s) for (a, b), s in zip(spans, sizes) if a < b]
-        pieces = min(n, max(pieces + 1, pieces * 51 // 50))
+        pieces = max(pieces + 1, pieces * 51 // 50)
+        if pieces > 4 * least or pieces > n:
+            if overlap == 0:
+                return _halves(text, limit, tokens)
+            return split_text(text, limit, overlap // 2, tokens, reach)
+
+
+def _halves(text: str, limit: int, tokens: tokenizers.Tokens) -> list[tuple[int, int, int]]:
+    """Plain halving, for texts whose parts have more tokens by themselves than within the whole."""
+    out, todo = [], [(0, len(text))]
+    while todo:
+        a, b = todo.pop()
+        size = tokens.count(text[a:b])
+        if size <= limit or b - a < 2:
+            out.append((a, b, size))
+        else:
+            todo += [((a + b) // 2, b), (a, (a + b) // 2)]
+    return out
 
 
 def _snap(text: str, ends: list[int], lo: int, target: int, hi: int) -> int:

@@ -54,24 +54,20 @@ class Tokens:
         if self.kind == "json":
             return [end for _, end in self.own.encode(text, add_special_tokens=False).offsets]
         if self.kind == "tiktoken":
-            sizes = [self.size[t] for t in self.own.encode_ordinary(text)]
-            if text.isascii():
-                out, at = [], 0
-                for n in sizes:
-                    at += n
-                    out.append(at)
-                return out
-            char_of, k = [0], 0
-            for c in text:
-                k += 1
-                n = ord(c)
-                char_of += [k] * (1 if n < 0x80 else 2 if n < 0x800 else 3 if n < 0x10000 else 4)
-            out, at = [], 0
-            for n in sizes:
-                at += n
-                out.append(char_of[at])
-            return out
-        return [p.end for p in self.own.encode(text, out_type="immutable_proto").pieces]
+            at, ends = 0, []
+            for t in self.own.encode_ordinary(text):
+                at += self.size[t]
+                ends.append(at)
+        else:
+            ends = [p.end for p in self.own.encode(text, return_type="proto").pieces]
+        if text.isascii():
+            return ends
+        char_of, k = [0], 0
+        for c in text:
+            k += 1
+            n = ord(c)
+            char_of += [k] * (1 if n < 0x80 else 2 if n < 0x800 else 3 if n < 0x10000 else 4)
+        return [char_of[e] for e in ends]
 
 
 @lru_cache(maxsize=4)
