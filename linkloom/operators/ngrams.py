@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DELIMITER_CLASS, NOT_DELIMITER_CLASS
+from ..functions.text import DELIMITER_CLASS, NOT_DELIMITER_CLASS, let
 
 _WORD = "[\\p{L}\\p{M}][\\p{L}\\p{M}\\p{N}]*(?:(?<=[\\p{L}\\p{M}])['.\\-_](?=[\\p{L}\\p{M}])[\\p{L}\\p{M}\\p{N}]+)*"
 PIECE = (
@@ -37,31 +37,27 @@ def simple_words(text: Column) -> Column:
 def ngrams(text: Column, width: int = 4) -> Column:
     """All n-grams of 1 to ``width`` words, with the text between the words; an
     n-gram that a "." follows comes out once more with it. array<string>."""
-    p = pieces(text)
 
     def of(all_pieces: Column) -> Column:
-        at = F.filter(F.transform(all_pieces, lambda x, i: F.when(_is_word(x), i + 1)), lambda i: i.isNotNull())
+        where = F.filter(F.transform(all_pieces, lambda x, i: F.when(_is_word(x), i + 1)), lambda i: i.isNotNull())
+        return let(where, lambda at: F.flatten(F.transform(at, lambda first, i: from_word(all_pieces, first, F.slice(at, i + 1, F.lit(width))))))
 
-        def from_word(_: Column, i: Column, where: Column) -> Column:
-            ends = F.slice(where, i + 1, F.lit(width))
-            first = F.element_at(where, i + 1)
+    def from_word(all_pieces: Column, first: Column, ends: Column) -> Column:
+        return F.flatten(F.transform(ends, lambda end: with_dot(F.array_join(F.slice(all_pieces, first, end - first + 1), ""), F.get(all_pieces, end))))
 
-            def one(end: Column) -> Column:
-                gram = F.array_join(F.slice(all_pieces, first, end - first + 1), "")
-                after = F.coalesce(F.startswith(F.get(all_pieces, end), F.lit(".")), F.lit(False))
-                return F.when(after, F.array(gram, F.concat(gram, F.lit(".")))).otherwise(F.array(gram))
+    def with_dot(gram: Column, after: Column) -> Column:
+        return F.when(F.coalesce(F.startswith(after, F.lit(".")), F.lit(False)), F.array(gram, F.concat(gram, F.lit(".")))).otherwise(F.array(gram))
 
-            return F.flatten(F.transform(ends, one))
-
-        return F.flatten(F.transform(at, lambda w, i: from_word(w, i, at)))
-
-    return of(p)
+    return let(pieces(text), of)
 
 
 def simple_ngrams(text: Column, width: int = 4) -> Column:
     """N-grams of simple_words(), joined by single spaces. array<string>."""
-    w = simple_words(text)
-    return F.flatten(F.transform(w, lambda _, i: F.transform(F.slice(w, i + 1, F.lit(width)), lambda __, j: F.array_join(F.slice(w, i + 1, j + 1), " "))))
+
+    def of(w: Column) -> Column:
+        return F.flatten(F.transform(w, lambda _, i: F.transform(F.slice(w, i + 1, F.lit(width)), lambda __, j: F.array_join(F.slice(w, i + 1, j + 1), " "))))
+
+    return let(simple_words(text), of)
 
 
 def text_counts(paragraphs: DataFrame, forms: DataFrame, paragraph: str = "paragraph", width: int = 4, simple: bool = False) -> DataFrame:

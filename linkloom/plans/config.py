@@ -23,6 +23,7 @@ class Config:
     min_nb_contexts: int = 2
     max_nb_token: int = 4  # width of n-grams
     mode: str = "compat"
+    filter_by_size: bool = True  # leave out pages of fewer than 100 characters
 
     def __post_init__(self) -> None:
         if self.mode not in ("compat", "fixed"):

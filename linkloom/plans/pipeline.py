@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import FOR_CONTEXTS, FOR_LINKS, FOR_NGRAMS
+from ..functions.cleaning import FOR_CONTEXTS, FOR_LINKS, FOR_NGRAMS, Clean
 from ..functions.pages import with_fields
 from ..operators import context, ngrams, pairs
 from ..operators.redirects import redirect_table
@@ -34,18 +34,22 @@ def parsed_pages(raw: DataFrame, config: Config = Config(), page: str = "page")
     return materialize(fields.select(F.xxhash64("page").alias("page_key"), "title", "redirect", "is_wikitext", "text"))
 
 
+def _how(how: Clean, config: Config) -> Clean:
+    return replace(how, filter_by_size=config.filter_by_size)
+
+
 def link_stats(pages: DataFrame, config: Config = Config(), key: str = "page_key") -> LinkStats:
     """Redirects are taken from pages of any kind, titles and links from wikitext pages."""
     titles = pages.where("is_wikitext and title is not null").select("title").distinct()
     redirects = redirect_table(pages)
-    links = pairs.paragraph_links(pairs.page_paragraphs(pages, key, FOR_LINKS), nested=True, min_length=config.min_length_sf, max_length=config.max_length_sf, max_tokens=config.max_nb_token_sf)
+    links = pairs.paragraph_links(pairs.page_paragraphs(pages, key, _how(FOR_LINKS, config)), nested=True, min_length=config.min_length_sf, max_length=config.max_length_sf, max_tokens=config.max_nb_token_sf)
     raw = pairs.count_pairs(links)
     return LinkStats(titles, redirects, materialize(pairs.resolved_pairs(raw, redirects, titles, config.min_occurence_couple)))
 
 
 def context_counts(pages: DataFrame, stats: LinkStats, config: Config = Config(), stop_words: list[str] = [], key: str = "page_key") -> DataFrame:  # noqa: B006
     """(``uri``, ``tokens``) of the targets with enough mentions."""
-    paragraphs = pairs.page_paragraphs(pages, key, FOR_CONTEXTS)
+    paragraphs = pairs.page_paragraphs(pages, key, _how(FOR_CONTEXTS, config))
     paragraphs = materialize(paragraphs.select(F.xxhash64(key, "pos", "paragraph").alias("par_key"), "paragraph"))
     known = pairs.uri_counts(stats.resolved, config.language)
     found = materialize(
@@ -58,7 +62,7 @@ def context_counts(pages: DataFrame, stats: LinkStats, config: Config = Config()
 
 
 def form_counts(pages: DataFrame, stats: LinkStats, config: Config = Config(), key: str = "page_key") -> DataFrame:
-    paragraphs = pairs.page_paragraphs(pages, key, FOR_NGRAMS)
+    paragraphs = pairs.page_paragraphs(pages, key, _how(FOR_NGRAMS, config))
     return ngrams.sf_total_counts(pairs.sf_counts(stats.resolved), paragraphs, "paragraph", config.max_nb_token, mode=config.mode)
 
 

@@ -168,9 +168,18 @@ def stripped_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -- the passes over the dump ---------------------------------------------------------
+# Short pages and single links count here: most links of these pages stand on redirect pages.
+WIKI = Config(min_occurence_couple=1, min_nb_contexts=1, filter_by_size=False, mode="fixed")
+
+
 def _pass(spark: SparkSession, d: str):  # noqa: ANN202
-    pages = pipeline.parsed_pages(table(spark, d, "page").select("page_id", "page").dropDuplicates(["page_id"]), Config())
-    return pages, pipeline.link_stats(pages, Config())
+    pages = pipeline.parsed_pages(table(spark, d, "page").select("page_id", "page").dropDuplicates(["page_id"]), WIKI)
+    return pages, pipeline.link_stats(pages, WIKI)
+
+
+def wiki_raw_pairs(spark: SparkSession, d: str) -> DataFrame:
+    pages = _parsed(spark, d)
+    return pairs.count_pairs(pairs.paragraph_links(pairs.page_paragraphs(pages, "page_key")))
 
 
 def wiki_pair_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -178,12 +187,12 @@ def wiki_pair_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wiki_sf_total_counts(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.form_counts(*_pass(spark, d))
+    return pipeline.form_counts(*_pass(spark, d), WIKI)
 
 
 def wiki_token_counts(spark: SparkSession, d: str) -> DataFrame:
     stop = [r.word for r in table(spark, d, "stop_words").where("lang = 'en'").select("word").collect()]
-    ranked = pipeline.context_counts(*_pass(spark, d), Config(), stop)
+    ranked = pipeline.context_counts(*_pass(spark, d), WIKI, stop)
     return ranked.select(context.wiki_uri(F.col("uri")).alias("uri"), context.token_line(F.col("tokens")).alias("tokens"))
 
 
@@ -261,7 +270,7 @@ def context_token_strings(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     link_pair_counts, uri_counts, sf_counts, pairs_by_count, page_fields, page_titles, page_redirects, page_redirect_flag, resolved_page_uri, first_line, page_limit,
     document_line_chunks, string_functions, standard_uris, escaped_titles, unescaped_text, string_hashes, redirect_resolution, existing_uris, flat_page_links,
-    page_paragraphs, page_links_nested, page_links_outer, stripped_paragraphs, wiki_pair_counts, wiki_sf_total_counts, wiki_token_counts,
+    page_paragraphs, page_links_nested, page_links_outer, stripped_paragraphs, wiki_raw_pairs, wiki_pair_counts, wiki_sf_total_counts, wiki_token_counts,
     word_pieces, paragraph_ngrams, sf_total_counts, sf_total_counts_fixed, sf_total_counts_pieces, stopword_tokens, analyzed_tokens, mentions_min_contexts, context_token_counts, context_token_strings,
 )}
 
