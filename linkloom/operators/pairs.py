@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import links as L
 from ..functions.cleaning import FOR_LINKS, Clean, paragraphs
 from ..functions.text import standard_uri, upper_first
+from ..session import materialize
 from .lookup import look_up
 from .redirects import resolve
 
@@ -42,8 +43,9 @@ def resolved_pairs(raw: DataFrame, redirects: DataFrame, titles: DataFrame, min_
     come to be the same pair are added up.
     """
     kept = raw.where(F.col("uri").isNotNull() & F.col("sf").isNotNull() & (F.col("count") >= min_count) & ~F.endswith("sf", F.lit(",")))
-    moved = resolve(kept.select("uri", "sf", "count"), "uri", redirects)
+    moved = resolve(materialize(kept.select("uri", "sf", "count")), "uri", redirects)
     moved = moved.select(upper_first(F.col("resolved")).alias("uri"), "sf", "count").groupBy("uri", "sf").agg(F.sum("count").alias("count"))
+    moved = materialize(moved)
     there = titles.select(F.col("title").alias("uri")).where("uri is not null").distinct().withColumn("__there", F.lit(True))
     return look_up(moved, "uri", there, "inner").drop("__there")
 

@@ -21,12 +21,16 @@ def redirect_table(pages: DataFrame, title: str = "title", target: str = "redire
     return rows.groupBy(F.col(f"`{title}`").alias("title")).agg(F.min(F.col(f"`{target}`")).alias("target"))
 
 
-def _next(rows: DataFrame, key: str, hop: DataFrame) -> DataFrame:
-    """Add ``__next``: the hop of ``key`` as it is, else with an upper-case first letter, else null."""
-    exact = look_up(rows, key, hop.select(F.col("title").alias(key), F.col("target").alias("__exact")))
-    exact = exact.withColumn("__upper", F.when(F.col("__exact").isNull(), upper_first(F.col(key))))
-    either = look_up(exact, "__upper", hop.select(F.col("title").alias("__upper"), F.col("target").alias("__other")))
-    return either.select(*rows.columns, F.coalesce("__exact", "__other").alias("__next"))
+def _by_upper(hop: DataFrame) -> DataFrame:
+    """One row per upper-first title: the targets of its spellings, of which there are a few at most."""
+    return hop.groupBy(upper_first(F.col("title")).alias("__upper")).agg(F.map_from_entries(F.collect_list(F.struct("title", "target"))).alias("__targets"))
+
+
+def _next(keys: DataFrame, key: str, hop: DataFrame) -> DataFrame:
+    """Add ``__next`` to distinct keys: the hop of the key as it is, else with an upper-case first letter, else null."""
+    asked = keys.withColumn("__upper", upper_first(F.col(key)))
+    got = look_up(asked, "__upper", _by_upper(hop), hot=[])  # keys are distinct: a few share their upper-first form
+    return got.select(*keys.columns, F.coalesce(F.col("__targets")[F.col(key)], F.col("__targets")[F.col("__upper")]).alias("__next"))
 
 
 def closed_redirects(redirects: DataFrame) -> DataFrame:
@@ -35,8 +39,8 @@ def closed_redirects(redirects: DataFrame) -> DataFrame:
     15 = 8 + 4 + 2 + 1: the hops of the targets are composed to 2, 4 and 8 hops
     by three self joins, then applied to the first hop.
     """
-    table = materialize(redirects.select("title", "target"))
-    targets = materialize(table.select(F.col("target").alias("title")).distinct())
+    table = materialize(redirect_table(redirects, "title", "target"))  # once per title, no nulls
+    targets = table.select(F.col("target").alias("title")).distinct()
     one = materialize(_next(targets, "title", table).where("__next is not null").select("title", F.col("__next").alias("target")))
     steps = []
     for _ in range(3):
@@ -57,8 +61,8 @@ def resolve(rows: DataFrame, uri: str, redirects: DataFrame, name: str = "resolv
     ``closed`` says that ``redirects`` comes from closed_redirects().
     """
     table = redirects if closed else closed_redirects(redirects)
-    keys = materialize(rows.select(F.col(f"`{uri}`").alias("__uri")).where("__uri is not null").distinct())
-    found = materialize(_next(keys, "__uri", table).select("__uri", F.col("__next").alias("__to")))
+    keys = rows.select(F.col(f"`{uri}`").alias("__uri")).where("__uri is not null").distinct()
+    found = materialize(_next(keys, "__uri", table).where("__next is not null").select("__uri", F.col("__next").alias("__to")))
     names = [c for c in rows.columns if c != name]
     got = look_up(rows.withColumn("__uri", F.col(f"`{uri}`")), "__uri", found)
     return got.select(*[f"`{c}`" for c in names], F.coalesce("__to", "__uri").alias(name))
