@@ -16,10 +16,10 @@ from ..functions.cleaning import FOR_CONTEXTS, FOR_LINKS, FOR_NGRAMS
 from ..functions.tokenizers import analyze
 from ..operators import context, ngrams, pairs
 from ..operators.redirects import redirect_table, resolve
-from ..session import materialize
-from ..sources.pages import line_chunks
+from ..session import materialize, scratch_path
+from ..sources.pages import line_chunks, read_pages, read_uri_counts
 from ..sources.tables import table
-from . import pipeline
+from . import pipeline, sinks
 from .config import Config
 
 CONFIG = Config(min_occurence_couple=3)
@@ -61,6 +61,20 @@ def document_line_chunks(spark: SparkSession, d: str) -> DataFrame:
     return line_chunks(lines, ["doc_id", "pos"], "line", 500).select("chunk", "lines", F.octet_length("text").cast("bigint").alias("bytes"))
 
 
+def dump_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The pages written as a text dump, split at their delimiters again, and read."""
+    path = scratch_path(spark)
+    sinks.write_text(table(spark, d, "page"), "page", path)
+    found = P.with_fields(read_pages(spark, f"{path}/part-*"))
+    return found.groupBy("title", "redirect", "is_wikitext").agg(F.count(F.lit(1)).alias("pages"))
+
+
+def map_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A user's function over pages: their headline tags."""
+    out = pipeline.map_pages(table(spark, d, "page"), lambda page: [x for x in page.split("\n") if x.strip().startswith("<model>")])
+    return out.groupBy("output").agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- scalar functions ------------------------------------------------------------
 def _strings(spark: SparkSession, d: str) -> DataFrame:
     """Distinct titles, targets, surface forms and addresses."""
@@ -126,6 +140,19 @@ def pairs_by_count(spark: SparkSession, d: str) -> DataFrame:
     return pairs.by_count(_resolved(spark, d))
 
 
+def written_pair_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The pair counts as their text output holds them."""
+    path = scratch_path(spark)
+    sinks.write_pair_counts(link_pair_counts(spark, d), path)
+    return spark.read.csv(path, sep="\t", schema="sf string, std_uri string, count bigint", quote="", escape="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def written_uri_counts(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark)
+    sinks.write_uri_counts(uri_counts(spark, d), path)
+    return read_uri_counts(spark, path)
+
+
 def redirect_resolution(spark: SparkSession, d: str) -> DataFrame:
     page = table(spark, d, "page")
     return resolve(page.where("title is not null").select("title").distinct(), "title", redirect_table(page))
@@ -269,7 +296,7 @@ def context_token_strings(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     link_pair_counts, uri_counts, sf_counts, pairs_by_count, page_fields, page_titles, page_redirects, page_redirect_flag, resolved_page_uri, first_line, page_limit,
-    document_line_chunks, string_functions, standard_uris, escaped_titles, unescaped_text, string_hashes, redirect_resolution, existing_uris, flat_page_links,
+    dump_scan, map_pages, written_pair_counts, written_uri_counts, document_line_chunks, string_functions, standard_uris, escaped_titles, unescaped_text, string_hashes, redirect_resolution, existing_uris, flat_page_links,
     page_paragraphs, page_links_nested, page_links_outer, stripped_paragraphs, wiki_raw_pairs, wiki_pair_counts, wiki_sf_total_counts, wiki_token_counts,
     word_pieces, paragraph_ngrams, sf_total_counts, sf_total_counts_fixed, sf_total_counts_pieces, stopword_tokens, analyzed_tokens, mentions_min_contexts, context_token_counts, context_token_strings,
 )}
@@ -361,6 +388,10 @@ SQL = {
     "sf_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, sum(count)::BIGINT AS count FROM res GROUP BY sf",
     "pairs_by_count": f"WITH RECURSIVE {_RESOLVED} SELECT uri, sf, count FROM res ORDER BY count DESC, uri, sf",
     "page_fields": "SELECT page_id, trim(title) AS title, nullif(trim(redirect), '') AS redirect, is_wikitext, octet_length(encode(CASE WHEN contains(page, '<text xml:space=\"preserve\">') THEN text END))::BIGINT AS text_bytes FROM page",
+    "dump_scan": "SELECT trim(title) AS title, nullif(trim(redirect), '') AS redirect, is_wikitext, count(*) AS pages FROM page GROUP BY ALL",
+    "map_pages": "SELECT unnest(regexp_extract_all(page, '(?m)^[ ]*<model>.*$')) AS output, count(*) AS n FROM page GROUP BY 1",
+    "written_pair_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, std_uri, count FROM res JOIN {_standard('uri', 'res')} ON s = uri",
+    "written_uri_counts": f"WITH RECURSIVE {_RESOLVED} SELECT std_uri, sum(count)::BIGINT AS count FROM res JOIN {_standard('uri', 'res')} ON s = uri GROUP BY uri, std_uri",
     "page_titles": "SELECT DISTINCT trim(title) AS title FROM page WHERE is_wikitext AND title IS NOT NULL",
     "page_redirects": "SELECT trim(title) AS title, min(trim(redirect)) AS target FROM page WHERE title IS NOT NULL AND redirect IS NOT NULL GROUP BY 1",
     "page_redirect_flag": "SELECT contains(page, '<redirect title=') AS redirects, count(*) AS pages FROM page GROUP BY 1",

@@ -30,6 +30,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes with release()."""
+    path = f"{shared_folder(spark)}/linkloom/{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -38,9 +45,8 @@ def materialize(df: DataFrame) -> DataFrame:
     removed when the process ends, or by release().
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/linkloom/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

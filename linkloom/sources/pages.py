@@ -11,13 +11,12 @@ from ..session import materialize
 
 
 def existing(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
-    """The paths that are files; what is missing or a folder is left out."""
+    """The paths, patterns expanded, that are files; what is missing or a folder is left out."""
     found = []
     for path in [paths] if isinstance(paths, str) else paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(p) and fs.getFileStatus(p).isFile():
-            found.append(path)
+        states = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+        found += [s.getPath().toString() for s in states if s.isFile()]
     return found
 
 
