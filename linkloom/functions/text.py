@@ -55,13 +55,24 @@ CONTROL = "".join(map(chr, range(33)))  # what a plain trim removes
 
 
 def _class(chars: str) -> str:
-    """A character class for Java's and RE2's regular expressions."""
-    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
+    """A character class for Java's and RE2's regular expressions.
+
+    Java looks single characters under U+0100 up in a table and tests all else
+    one by one, so only those beyond are joined to ranges.
+    """
+    spans: list[list[int]] = []
+    for c in sorted(map(ord, set(chars))):
+        if spans and c > 0x100 and c == spans[-1][1] + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:X}}}" + (f"-\\x{{{b:X}}}" if b > a else "") for a, b in spans) + "]"
 
 
 WHITE_CLASS = _class(WHITE)
 DELIMITER_CLASS = _class(WHITE + PUNCTUATION)
-NOT_DELIMITER_CLASS = "[^" + DELIMITER_CLASS[1:]
+# plain letters and digits first, so that most characters pass at the first test
+NOT_DELIMITER_CLASS = "[a-zA-Z0-9[^" + DELIMITER_CLASS[1:] + "]"
 
 
 def utf16_length(s: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DELIMITER_CLASS, NOT_DELIMITER_CLASS, let
+from ..session import materialize
 
 _WORD = "[\\p{L}\\p{M}][\\p{L}\\p{M}\\p{N}]*(?:(?<=[\\p{L}\\p{M}])['.\\-_](?=[\\p{L}\\p{M}])[\\p{L}\\p{M}\\p{N}]+)*"
 PIECE = (
@@ -34,42 +35,70 @@ def simple_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{NOT_DELIMITER_CLASS}+"), F.lit(0))
 
 
-def ngrams(text: Column, width: int = 4) -> Column:
-    """All n-grams of 1 to ``width`` words, with the text between the words; an
-    n-gram that a "." follows comes out once more with it. array<string>."""
+def _shifted(words: Column, width: int) -> Column:
+    """For each word the array of itself and those after it, as struct<w0, w1, ...>; nulls beyond the end."""
+    parts = [words, *(F.slice(words, F.lit(k + 1), F.size(words)) for k in range(1, width))]
+    return F.arrays_zip(*[p.alias(f"w{k}") for k, p in enumerate(parts)])
 
-    def of(all_pieces: Column) -> Column:
-        where = F.filter(F.transform(all_pieces, lambda x, i: F.when(_is_word(x), i + 1)), lambda i: i.isNotNull())
-        return let(where, lambda at: F.flatten(F.transform(at, lambda first, i: from_word(all_pieces, first, F.slice(at, i + 1, F.lit(width))))))
 
-    def from_word(all_pieces: Column, first: Column, ends: Column) -> Column:
-        return F.flatten(F.transform(ends, lambda end: with_dot(F.array_join(F.slice(all_pieces, first, end - first + 1), ""), F.get(all_pieces, end))))
+def with_ngrams(rows: DataFrame, text: str, name: str, width: int = 4) -> DataFrame:
+    """One row per n-gram of 1 to ``width`` words, with the text between the
+    words; an n-gram that a "." follows comes once more with it. The other columns stay.
 
-    def with_dot(gram: Column, after: Column) -> Column:
-        return F.when(F.coalesce(F.startswith(after, F.lit(".")), F.lit(False)), F.array(gram, F.concat(gram, F.lit(".")))).otherwise(F.array(gram))
+    Each word carries what lies before the next one; words are zipped with
+    their successors and n-grams follow by concatenation, in generated code.
+    """
+    keep = [c for c in rows.columns if c != text]
+
+    def words(p: Column) -> Column:
+        where = F.filter(F.transform(p, lambda x, i: F.when(_is_word(x), i + 1)), lambda i: i.isNotNull())
+
+        def one(at: Column, first: Column, i: Column) -> Column:
+            after = F.coalesce(F.get(at, i + 1), F.size(p) + 1)
+            gap = F.array_join(F.slice(p, first + 1, after - first - 1), "")
+            return F.struct(F.element_at(p, first).alias("t"), gap.alias("g"), F.coalesce(F.startswith(F.get(p, first), F.lit(".")), F.lit(False)).alias("d"))
+
+        return let(where, lambda at: F.transform(at, lambda first, i: one(at, first, i)))
 
-    return let(pieces(text), of)
+    each = rows.select(*keep, let(pieces(F.col(text)), words).alias("__w")).where(F.size("__w") > 0)
+    each = each.select(*keep, F.explode(_shifted(F.col("__w"), width)).alias("__z"))
+    grams, so_far = [], None
+    for k in range(width):
+        w = F.col(f"__z.w{k}")
+        so_far = w["t"] if so_far is None else F.concat(so_far, F.col(f"__z.w{k - 1}")["g"], w["t"])
+        grams += [so_far, F.when(w["d"], F.concat(so_far, F.lit(".")))]
+    return each.select(*keep, F.explode(F.array(*grams)).alias(name)).where(F.col(name).isNotNull())
 
 
-def simple_ngrams(text: Column, width: int = 4) -> Column:
-    """N-grams of simple_words(), joined by single spaces. array<string>."""
+def with_simple_ngrams(rows: DataFrame, text: str, name: str, width: int = 4) -> DataFrame:
+    """One row per n-gram of simple_words(), joined by single spaces. The other columns stay."""
+    keep = [c for c in rows.columns if c != text]
+    each = rows.select(*keep, simple_words(F.col(text)).alias("__w")).where(F.size("__w") > 0)
+    each = each.select(*keep, F.explode(_shifted(F.col("__w"), width)).alias("__z"))
+    grams = [F.col("__z.w0")]
+    for k in range(1, width):
+        grams.append(F.concat(grams[-1], F.lit(" "), F.col(f"__z.w{k}")))
+    return each.select(*keep, F.explode(F.array(*grams)).alias(name)).where(F.col(name).isNotNull())
 
-    def of(w: Column) -> Column:
-        return F.flatten(F.transform(w, lambda _, i: F.transform(F.slice(w, i + 1, F.lit(width)), lambda __, j: F.array_join(F.slice(w, i + 1, j + 1), " "))))
 
-    return let(simple_words(text), of)
+FORM_BYTES = 32 << 20  # forms up to this size are sent to every task
 
 
 def text_counts(paragraphs: DataFrame, forms: DataFrame, paragraph: str = "paragraph", width: int = 4, simple: bool = False) -> DataFrame:
     """(``sf``, ``text_count``): how often each of the ``forms`` (column ``sf``) occurs as an n-gram; forms that never occur are missing.
 
-    N-grams are counted per task before they are shuffled, then met with the
-    forms; a form list small enough is sent to the tasks by the optimizer.
+    Where the forms are small, n-grams that are none are dropped before
+    anything is shuffled; otherwise n-grams are counted per task, shuffled and
+    met with the forms.
     """
-    make = simple_ngrams if simple else ngrams
-    grams = paragraphs.select(F.explode(make(F.col(paragraph), width)).alias("sf"))
+    make = with_simple_ngrams if simple else with_ngrams
+    grams = make(paragraphs.select(paragraph), paragraph, "sf", width)
+    wanted = materialize(forms.select("sf").where("sf is not null").distinct())
+    small = (wanted.agg(F.sum(F.octet_length("sf") + 16)).first()[0] or 0) <= FORM_BYTES
+    if small:
+        grams = grams.join(F.broadcast(wanted), "sf", "left_semi")
     counted = grams.groupBy("sf").agg(F.count(F.lit(1)).alias("text_count"))
-    return counted.join(forms.select("sf").distinct(), "sf", "left_semi")
+    return counted if small else counted.join(wanted, "sf", "left_semi")
 
 
 def sf_total_counts(sf_counts: DataFrame, paragraphs: DataFrame, paragraph: str = "paragraph", width: int = 4, simple: bool = False, mode: str = "compat") -> DataFrame:

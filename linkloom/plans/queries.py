@@ -18,7 +18,7 @@ from ..operators import context, ngrams, pairs
 from ..operators.redirects import redirect_table, resolve
 from ..session import materialize, scratch_path
 from ..sources.pages import line_chunks, read_pages, read_uri_counts
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import pipeline, sinks
 from .config import Config
 
@@ -225,7 +225,7 @@ def wiki_token_counts(spark: SparkSession, d: str) -> DataFrame:
 
 # -- n-grams and contexts on the documents ----------------------------------------------
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text", "uri", F.lower(F.trim("lang")).alias("lang"))
+    return spread(table(spark, d, "documents").select("doc_id", "text", "uri", F.lower(F.trim("lang")).alias("lang")))
 
 
 def _forms(spark: SparkSession, d: str) -> DataFrame:
@@ -239,7 +239,7 @@ def word_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 def paragraph_ngrams(spark: SparkSession, d: str) -> DataFrame:
     """N-grams that occur ten times or more."""
-    grams = _documents(spark, d).select(F.explode(ngrams.simple_ngrams(F.col("text"))).alias("gram"))
+    grams = ngrams.with_simple_ngrams(_documents(spark, d).select("text"), "text", "gram")
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n >= 10")
 
 

@@ -90,9 +90,20 @@ def test_pieces(spark):
 
 def test_ngrams(spark):
     df = spark.createDataFrame([("Apple Inc. is  a",)], "t string")
-    got = df.select(ngrams.ngrams(F.col("t"), 2).alias("g")).first().g
+    got = [r.g for r in ngrams.with_ngrams(df, "t", "g", 2).collect()]
     assert sorted(got) == sorted(["Apple", "Apple Inc", "Apple Inc.", "Inc", "Inc.", "Inc. is", "is", "is  ", "  ", "  a", "a"])
-    assert df.select(ngrams.simple_ngrams(F.col("t"), 2).alias("g")).first().g == ["Apple", "Apple Inc", "Inc", "Inc is", "is", "is a", "a"]
+    assert sorted(r.g for r in ngrams.with_simple_ngrams(df, "t", "g", 2).collect()) == ["Apple", "Apple Inc", "Inc", "Inc is", "a", "is", "is a"]
+    odd = spark.createDataFrame([("",), (None,), ("...",), ("a",)], "t string")
+    for make in (ngrams.with_ngrams, ngrams.with_simple_ngrams):
+        assert [r.g for r in make(odd, "t", "g").collect()] == ["a"]
+
+
+def test_large_form_lists(spark, monkeypatch):
+    par = spark.createDataFrame([("the city of Paris. Paris Inc.",), (None,)], "paragraph string")
+    forms = spark.createDataFrame([("Paris",), ("Paris Inc.",), ("none",), (None,)], "sf string")
+    small = rows(ngrams.text_counts(par, forms))
+    monkeypatch.setattr(ngrams, "FORM_BYTES", 0)
+    assert rows(ngrams.text_counts(par, forms)) == small == [("Paris", 2), ("Paris Inc.", 1)]
 
 
 def test_contexts(spark):
