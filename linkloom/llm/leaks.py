@@ -40,12 +40,21 @@ def _seeds(h: np.ndarray, k: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))).view(np.int64)
 
 
+def _all_seeds(ids: pd.Series, texts: pd.Series, k: int, id_name: str, place: str) -> pd.DataFrame:
+    """One row per run of k words of each text: its id, place and hash."""
+    each = [_seeds(np.fromiter(map(_hash, words(t)), np.uint64), k) for t in texts]
+    n = [len(s) for s in each]
+    return pd.DataFrame({
+        id_name: ids.repeat(n).reset_index(drop=True),
+        place: np.concatenate([np.arange(x, dtype=np.int32) for x in n] or [np.empty(0, np.int32)]),
+        "seed": np.concatenate(each or [np.empty(0, np.int64)]),
+    })
+
+
 def _item_seeds(items: DataFrame, item: str, text: str, k: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for i, t in zip(batch["item"], batch["text"]):
-                s = _seeds(np.fromiter(map(_hash, words(t)), np.uint64), k)
-                yield pd.DataFrame({"item": i, "ipos": np.arange(len(s), dtype=np.int32), "seed": s})
+            yield _all_seeds(batch["item"], batch["text"], k, "item", "ipos")
 
     kind = items.schema[item].dataType.simpleString()
     return items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).mapInPandas(run, f"item {kind}, ipos int, seed bigint")
@@ -87,9 +96,7 @@ def _hits_far(docs: DataFrame, kind: str, seeds: DataFrame, k: int) -> DataFrame
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for i, t in zip(batch["doc"], batch["text"]):
-                s = _seeds(np.fromiter(map(_hash, words(t)), np.uint64), k)
-                yield pd.DataFrame({"doc": i, "dpos": np.arange(len(s), dtype=np.int32), "seed": s})
+            yield _all_seeds(batch["doc"], batch["text"], k, "doc", "dpos")
 
     every = docs.mapInPandas(run, f"doc {kind}, dpos int, seed bigint")
     hits = every.join(seeds.select("seed").distinct(), "seed", "left_semi")

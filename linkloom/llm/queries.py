@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .distinctive import score_terms
 from .frequency import term_frequencies
 from .groups import connected_groups, page_pairs
@@ -77,34 +77,38 @@ def p5_frequencies(spark: SparkSession, d: str) -> DataFrame:
     return _frequencies(spark, d).select("field", "term", "total", "records", "rare", "common")
 
 
+def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text", *columns))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    leaks = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    leaks = find_leaks(_documents(spark, d), table(spark, d, "eval_items"))
     return leaks.where("exact_words >= 12").select("doc_id", "item_id")
 
 
 def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Edited copies as well."""
-    return find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return find_leaks(_documents(spark, d), table(spark, d, "eval_items"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).report.where("short").select("source")
+    return mix_sources(_documents(spark, d, "source"), table(spark, d, "mix_targets")).report.where("short").select("source")
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
-    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).report
+    return mix_sources(_documents(spark, d, "source"), table(spark, d, "mix_targets")).report
 
 
 def p8_selection(spark: SparkSession, d: str) -> DataFrame:
-    return mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets")).selection
+    return mix_sources(_documents(spark, d, "source"), table(spark, d, "mix_targets")).selection
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return split_items(table(spark, d, "documents"), "doc_id", "text", 2000, 200).where("piece = 0").select("doc_id")
+    return split_items(_documents(spark, d), "doc_id", "text", 2000, 200).where("piece = 0").select("doc_id")
 
 
 def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return split_items(table(spark, d, "documents"), "doc_id", "text", 2000, 200)
+    return split_items(_documents(spark, d), "doc_id", "text", 2000, 200)
 
 
 QUERIES = {f.__name__: f for f in (
@@ -180,4 +184,10 @@ SQL = {
              dg AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM d, unnest(range(1, len(w) - 10)) AS x(k)),
              ig AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM i, unnest(range(1, len(w) - 10)) AS x(k))
         SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
+    # No text lies near the limit and no source near its share under any common tokenizer, so bytes do for tokens here.
+    "p8_found": """
+        WITH d AS (SELECT lower(trim(source)) AS source, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+             m AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats) AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1)
+        SELECT source FROM m LEFT JOIN d USING (source) GROUP BY source, share, r HAVING coalesce(sum(n), 0) * r < share * (SELECT sum(n) FROM d)""",
+    "p9_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) > 4 * 2000",
 }
