@@ -51,8 +51,8 @@ _LEAF = re.compile(
   | <math\b(?P<mattr>[^>]*)>(?P<math>.*?)</math\s*>
   | <chem\b[^>]*>(?P<chem>.*?)</chem\s*>
   | \$\$(?P<dd>.+?)\$\$
-  | \\\[(?P<db>.+?)\\\]
-  | \\\((?P<ib>.+?)\\\)
+  | (?<!\\)\\\[(?P<db>.+?)\\\]
+  | (?<!\\)\\\((?P<ib>.+?)\\\)
   | \\begin\{{(?P<menv>(?:{MATH_ENVS})\*?)\}}(?P<mcode>.*?)\\end\{{(?P=menv)\}}
   | (?<![\\$\w])\$(?P<id>(?![\s$\d])[^$\n]*?(?<![\s\\]))\$(?![\d$])
   | (?<![\\$\w])\$(?P<idn>\d[^$\n]*?[\\^_=+{{}}][^$\n]*?(?<![\s\\]))\$(?![\d$])
@@ -96,9 +96,9 @@ _MD_LINK = re.compile(r"\[([^\[\]\n]+)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\"\
 _MD_REF = re.compile(r"\[\^[^\]\s]+\]:?|\[([^\[\]\n]+)\]\[[^\[\]\n]*\]|^[ \t]*\[[^\]\n]+\]:[ \t]+\S+.*$", re.M)
 _AUTO = re.compile(r"<(https?://[^<>\s]+|mailto:[^<>\s]+)>")
 _BARE_QUOTES = re.compile(r"'{2,}")
-_TICK = re.compile(r"(`+)(?!`)([^\n]+?)(?<!`)\1(?!`)")
+_TICK = re.compile(r"(`+)(?!`)([^\n]{1,2000}?)(?<!`)\1(?!`)")  # bounded, so that a long line of openings stays linear
 _STRONG = re.compile(r"(?<![\w*\\])(\*\*|\*)(?![\s*])([^*\n]+?)(?<![\s*])\1(?![\w*])")
-_UNDER = re.compile(r"(?<![\w_\\])(__|_)(?![\s_])([^\n]+?)(?<![\s_])\1(?![\w_])")
+_UNDER = re.compile(r"(?<![\w_\\])(__|_)(?![\s_])([^\n]{1,2000}?)(?<![\s_])\1(?![\w_])")
 _STRIKE = re.compile(r"~~(?![\s~])([^~\n]+?)(?<![\s~])~~")
 _TEX_DROP = re.compile(r"\\(?:label|cite[a-z]*|ref|eqref|pageref|index|vspace|hspace|includegraphics|usepackage|documentclass|bibliography(?:style)?|begin|end|footnotemark)\*?(?:\[[^\]\n]*\])*(?:\{[^{}\n]*\})+")
 _TEX_HREF = re.compile(r"\\href\{[^{}\n]*\}\{([^{}\n]*)\}")

@@ -149,6 +149,11 @@ def test_tag_path_ratios():
     assert "".join(t for _, _, t in read_markup("{{Infobox\n| name = In its\n| area = 3\n}}\nText.")[0])
 
 
+@pytest.mark.parametrize("unit", [" _a", "`a ", "[", "[[", " *a", "{{", "}}", "$a ", "&lt;ref&gt;", "* a\n", "# a\n\n", "| a | b\n", "&lt;ul&gt;", "\\href{"])
+def test_markup_of_long_openings(unit):
+    assert isinstance(clean_markup(unit * 5000)[0], str)
+
+
 # -- scores and frequencies -------------------------------------------------------
 def test_scores(spark):
     data = [(1, "r1", "a", 2), (1, "r1", "a", 2), (2, "r1", "b", 1), (3, "r2", "a", None), (4, "r2", "c", 4), (5, " ", "a", 9), (6, None, "a", 9), (7, "r1", None, 9), (8, "r1", "a", 3)]
