@@ -63,6 +63,17 @@ def paragraphs_of(body: str | None, how: Clean = FOR_LINKS) -> list[str] | None:
             if utf16_len(text) > 1:
                 out.append(text)
 
+    gt_at = -1
+
+    def next_gt(pos: int) -> int:
+        """Where the next closing bracket from ``pos`` on stands; found once for all positions before it."""
+        nonlocal gt_at
+        if gt_at < pos:
+            gt_at = s.find(_GT, pos)
+            if gt_at < 0:
+                gt_at = end
+        return gt_at
+
     while at < last:
         muted = in_list or in_comment or in_ref or in_tag or divs > 0
         m = _STOP.search(s, at)
@@ -143,8 +154,8 @@ def paragraphs_of(body: str | None, how: Clean = FOR_LINKS) -> list[str] | None:
             if how.ignore_refs and two == "&l":
                 if s.startswith("&lt;ref", at) and at + 7 < end:
                     in_ref = True
-                    close = s.find(_GT, at + 6, end - 2)
-                    close = close if 0 <= close < end - 5 else max(at + 6, end - 5)
+                    close = next_gt(at + 6)
+                    close = close if close < end - 5 else max(at + 6, end - 5)
                     if s[close - 1] == "/":
                         in_ref = False
                         at = close + 4
@@ -156,7 +167,7 @@ def paragraphs_of(body: str | None, how: Clean = FOR_LINKS) -> list[str] | None:
                     at += 12
                     continue
             # other tags: up to 120 characters long
-            if not in_ref and not in_comment and s.startswith("&lt;", at) and at + 4 < end and 0 <= s.find(_GT, at) < at + 120:
+            if not in_ref and not in_comment and s.startswith("&lt;", at) and at + 4 < end and next_gt(at) < min(end, at + 120):
                 in_tag = True
                 at += 4
                 continue
