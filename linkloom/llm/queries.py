@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from .distinctive import score_terms
 from .frequency import term_frequencies
 from .groups import connected_groups, page_pairs
@@ -78,7 +78,7 @@ def p5_frequencies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return spread(table(spark, d, "documents").select("doc_id", "text", *columns))
+    return table(spark, d, "documents").select("doc_id", "text", *columns)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
