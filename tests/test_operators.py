@@ -129,6 +129,15 @@ def test_look_up_with_hot_key(spark):
     assert lookup.hot_keys(left, "k", 4) == ["hot"]
 
 
+def test_look_up_of_structs(spark):
+    key = F.struct(F.col("k").alias("a"), (F.col("x") % 2).alias("b"))
+    left = spark.createDataFrame([("hot", 2 * i) for i in range(300)] + [(f"k{i}", i) for i in range(50)], "k string, x int").select(key.alias("key"), "x")
+    right = spark.createDataFrame([("hot", 0, 1), ("k3", 1, 2)], "k string, x int, y int").select(key.alias("key"), "y")
+    assert len(lookup.hot_keys(left, "key", 4)) == 1
+    got = lookup.look_up(left, "key", right, "inner", parts=4)
+    assert sorted((r.x, r.y) for r in got.collect()) == sorted([(2 * i, 1) for i in range(300)] + [(3, 2)])
+
+
 def test_eager_join_equals_join(spark):
     rnd = random.Random(2)
     left = spark.createDataFrame([(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([1, 2, None]), rnd.randrange(3)) for _ in range(200)], "k string, v int, g int")
