@@ -41,15 +41,16 @@ def p2_forms(spark: SparkSession, d: str) -> DataFrame:
 
 def _wiki_pages(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "page").where("is_wikitext and title is not null and coalesce(redirect, '') = ''")
-    return pages.select("page_id", "text").dropDuplicates(["page_id"])
+    return strip_markup(pages.select("page_id", "text"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return strip_markup(_wiki_pages(spark, d)).select("page_id", F.explode("elements").alias("element"))
+    # repeated rows have the same content: dropping them by what was found moves no text
+    return _wiki_pages(spark, d).select("page_id", F.explode("elements").alias("element")).distinct()
 
 
 def p3_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return strip_markup(_wiki_pages(spark, d)).select("page_id", "clean_text", F.concat_ws(",", "elements").alias("elements"))
+    return _wiki_pages(spark, d).select("page_id", "clean_text", F.concat_ws(",", "elements").alias("elements")).dropDuplicates(["page_id"])
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
