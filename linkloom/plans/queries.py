@@ -143,13 +143,13 @@ def pairs_by_count(spark: SparkSession, d: str) -> DataFrame:
 def written_pair_counts(spark: SparkSession, d: str) -> DataFrame:
     """The pair counts as their text output holds them."""
     path = scratch_path(spark)
-    sinks.write_pair_counts(link_pair_counts(spark, d), path)
+    sinks.write_pair_counts(materialize(link_pair_counts(spark, d)), path)
     return spark.read.csv(path, sep="\t", schema="sf string, std_uri string, count bigint", quote="", escape="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def written_uri_counts(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark)
-    sinks.write_uri_counts(uri_counts(spark, d), path)
+    sinks.write_uri_counts(materialize(uri_counts(spark, d)), path)
     return read_uri_counts(spark, path)
 
 
@@ -390,8 +390,6 @@ SQL = {
     "page_fields": "SELECT page_id, trim(title) AS title, nullif(trim(redirect), '') AS redirect, is_wikitext, octet_length(encode(CASE WHEN contains(page, '<text xml:space=\"preserve\">') THEN text END))::BIGINT AS text_bytes FROM page",
     "dump_scan": "SELECT trim(title) AS title, nullif(trim(redirect), '') AS redirect, is_wikitext, count(*) AS pages FROM page GROUP BY ALL",
     "map_pages": "SELECT unnest(regexp_extract_all(page, '(?m)^[ ]*<model>.*$')) AS output, count(*) AS n FROM page GROUP BY 1",
-    "written_pair_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, std_uri, count FROM res JOIN {_standard('uri', 'res')} ON s = uri",
-    "written_uri_counts": f"WITH RECURSIVE {_RESOLVED} SELECT std_uri, sum(count)::BIGINT AS count FROM res JOIN {_standard('uri', 'res')} ON s = uri GROUP BY uri, std_uri",
     "page_titles": "SELECT DISTINCT trim(title) AS title FROM page WHERE is_wikitext AND title IS NOT NULL",
     "page_redirects": "SELECT trim(title) AS title, min(trim(redirect)) AS target FROM page WHERE title IS NOT NULL AND redirect IS NOT NULL GROUP BY 1",
     "page_redirect_flag": "SELECT contains(page, '<redirect title=') AS redirects, count(*) AS pages FROM page GROUP BY 1",
