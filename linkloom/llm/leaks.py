@@ -1,9 +1,11 @@
-"""Evaluation texts leaking into training text: rare n-gram seeds, then local alignment."""
+"""Evaluation texts leaking into training text: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,6 +19,7 @@ WORD = re.compile(r"[^\W_]+")
 SEED_WORDS = 6  # words of a seed
 MIN_WORDS = 12  # every run of so many words of an item holds a chosen seed
 BROADCAST_BYTES = 32 << 20  # items up to this size go to the executors whole; beyond it seeds are joined by shuffle
+CHUNK_WORDS = 1 << 17  # words of documents that are aligned with an item at a time
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,35 +133,159 @@ def align(doc: list[str], item: list[str], match: float = 1.0, mismatch: float =
     return best, at, until, longest
 
 
+def align_all(docs: list[list[str]], item: list[str], least: float) -> list[tuple[int, int]]:
+    """Score and longest run of equal words, as of ``align``, of an item and each of many documents.
+
+    A part of a document scores no more than its words that the item has less
+    those it hasn't. So the best alignment lies between two places where the
+    sum of these (from 0 on, never below) is 0, and stretches in which it stays
+    below ``least`` are left out: scores and runs of ``least`` or more are
+    exact, lower ones may come out lower still.
+    """
+    ids: dict[str, int] = {}
+    it = [ids.setdefault(w, len(ids)) for w in item]
+    parts: list[np.ndarray] = []
+    owner: list[int] = []
+    gap = np.array([-2], np.int32)  # between two stretches
+    for j, doc in enumerate(docs):
+        codes = np.fromiter((ids.get(w, -1) for w in doc), np.int32, len(doc))
+        total = np.concatenate(([0], np.cumsum(np.where(codes < 0, -1, 1))))
+        total -= np.minimum.accumulate(total)
+        zero = np.flatnonzero(total == 0)
+        ends = np.append(zero[1:], len(doc))
+        for x in np.flatnonzero(np.maximum.reduceat(total, zero) >= least):
+            parts += [codes[zero[x] : ends[x]], gap]
+            owner.append(j)
+    found = [(0, 0)] * len(docs)
+    if not owner:
+        return found
+    d = np.concatenate(parts)
+    between = np.flatnonzero(d == -2)
+    step = np.ones(len(d), np.int32)
+    step[between] = len(it) + 1  # no score outlasts it
+    slope = np.cumsum(step, dtype=np.int32)
+    row, run = np.zeros(len(d) + 1, np.int32), np.zeros(len(d) + 1, np.int32)
+    best, longest = np.zeros(len(d), np.int32), np.zeros(len(d), np.int32)
+    for w in it:
+        same = (d == w).astype(np.int32)
+        new = np.maximum(row[:-1] + (2 * same - 1), row[1:] - 1)
+        np.maximum(new, 0, out=new)
+        new[between] = 0
+        # gaps along the document: the best earlier cell less the way from it
+        new += slope
+        row[1:] = np.maximum.accumulate(new) - slope
+        run[1:] = (run[:-1] + 1) * same
+        np.maximum(best, row[1:], out=best)
+        np.maximum(longest, run[1:], out=longest)
+    starts = np.concatenate(([0], between[:-1] + 1))
+    for j, x, y in zip(owner, np.maximum.reduceat(best, starts).tolist(), np.maximum.reduceat(longest, starts).tolist()):
+        found[j] = max(found[j][0], x), max(found[j][1], y)
+    return found
+
+
+def _aligned(docs: list[list[str]], item: list[str], least: float) -> Iterator[tuple[int, int]]:
+    """The same, a chunk of documents at a time."""
+    lo, size = 0, 0
+    for j, doc in enumerate(docs):
+        size += len(doc)
+        if size >= CHUNK_WORDS or j == len(docs) - 1:
+            yield from align_all(docs[lo : j + 1], item, least)
+            lo, size = j + 1, 0
+
+
+_COLUMNS = ["doc", "item", "score", "exact_words", "item_words", "doc_words"]
+
+
+def _aligned_near(docs: DataFrame, kind: str, ikind: str, rows: list[tuple], k: int, least: float) -> DataFrame:
+    """Every document aligned with each item of ``rows`` that it shares a seed with: the items are on every executor, so no row moves."""
+    vocabulary: dict[str, int] = {}
+    seeds, owners = [np.empty(0, np.int64)], [np.empty(0, np.int32)]
+    for x, (_, text) in enumerate(rows):
+        w = words(text)
+        for y in w:
+            if y not in vocabulary:
+                vocabulary[y] = _hash(y)
+        s = np.unique(_seeds(np.fromiter((vocabulary[y] for y in w), np.uint64, len(w)), k))
+        seeds.append(s)
+        owners.append(np.full(len(s), x, np.int32))
+    every, owner = np.concatenate(seeds), np.concatenate(owners)
+    order = np.argsort(every, kind="stable")
+    shared = docs.sparkSession.sparkContext.broadcast((rows, vocabulary, every[order], owner[order]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items, known, wanted, holder = shared.value
+        get = known.get
+        own = lru_cache(4096)(lambda x: words(items[x][1]))
+        for batch in batches:
+            ids, texts, near = list(batch["doc"]), [], defaultdict(list)
+            for t in batch["text"]:
+                w = words(t)
+                if len(w) >= k:
+                    h = np.array([get(x, 0) for x in w], np.uint64)
+                    inside = np.convolve(h == 0, np.ones(k, np.int32), "valid") == 0
+                    if inside.any():
+                        s = _seeds(h, k)[inside]
+                        lo, hi = np.searchsorted(wanted, s, "left"), np.searchsorted(wanted, s, "right")
+                        for x in {x for a, b in zip(lo, hi) if a < b for x in holder[a:b].tolist()}:
+                            near[x].append(len(texts))
+                texts.append(w if len(w) >= k else [])
+            out = []
+            for x, places in near.items():
+                it = own(x)
+                for j, got in zip(places, _aligned([texts[j] for j in places], it, least)):
+                    out.append((ids[j], items[x][0], float(got[0]), got[1], len(it), len(texts[j])))
+            yield pd.DataFrame(out, columns=_COLUMNS, dtype=object)
+
+    return docs.mapInPandas(run, f"doc {kind}, item {ikind}, score double, exact_words int, item_words int, doc_words int")
+
+
+def _rare_pairs(suspects: DataFrame, seeds: DataFrame, small: bool, k: int, min_words: int) -> DataFrame:
+    """Pairs of a document and an item that share the seed that fewest documents
+    hold of some ``min_words`` words of the item: all pairs with an equal run of that length are among them."""
+    held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed")
+    common = held.distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
+    # an item of fewer than min_words words keeps its rarest seeds as well
+    window = Window.partitionBy("item").orderBy("ipos").rowsBetween(0, min_words - k)
+    ranked = seeds.join(common, "seed", "left").withColumn("pick", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "ipos", "seed")).over(window))
+    chosen = ranked.where("pick.docs > 0").select("item", F.col("pick.seed").alias("seed")).distinct()
+    return held.join(F.broadcast(chosen) if small else chosen, "seed").select("doc", "item").distinct()
+
+
 def find_leaks(
-    docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str = "text", item: str = "item_id", item_text: str = "text", seed_words: int = SEED_WORDS, min_words: int = MIN_WORDS, min_score: float = 8.0, broadcast_bytes: int = BROADCAST_BYTES
+    docs: DataFrame, items: DataFrame, doc: str = "doc_id", doc_text: str = "text", item: str = "item_id", item_text: str = "text", seed_words: int = SEED_WORDS, min_words: int = MIN_WORDS, min_score: float = 8.0, broadcast_bytes: int = BROADCAST_BYTES, exact: bool = False
 ) -> DataFrame:
     """Documents that hold passages of items: (``doc``, ``item``, ``score``, ``exact_words``, ``item_words``, ``doc_words``).
 
-    One row per pair of a document and an item whose words align at least at
-    ``min_score``. ``score`` is that of the best local alignment (a word that
-    matches 1, another or a gap -1), so edited copies score too;
-    ``exact_words`` is the longest run of equal words in the same order.
+    One row per pair of a document and an item that share a run of
+    ``seed_words`` words and align at least at ``min_score``. ``score`` is that
+    of the best local alignment of the whole texts (a word that matches 1,
+    another or a gap -1), so edited copies score too; ``exact_words`` is the
+    longest run of equal words in the same order.
     Case and everything but letters and digits is ignored. A null or empty
-    text holds nothing; a document or item id that occurs twice gives the
+    text holds nothing, rows without an id are left out; a document or item id that occurs twice gives the
     pair's row once per combination of differing rows. Extra columns are
     ignored.
 
-    Seeds are the runs of ``seed_words`` words of the items. From each run of
-    ``min_words`` words of an item the seed that fewest documents hold is
-    chosen, so every copied run of that length holds a chosen seed, and
-    passages that are common in the corpus are met through their rarest part.
-    Documents are read once; all counts are over all documents.
+    Seeds are the runs of ``seed_words`` words of the items. Each seed that a
+    document holds nominates the pair, however many documents hold it.
+    With ``exact`` only pairs with ``min_words`` equal words in a row are
+    found; for these it is enough to look, in each run of ``min_words`` words
+    of an item, at the seed that fewest documents hold.
     """
-    spark = docs.sparkSession
     if not 0 < seed_words <= min_words:
         raise ValueError("seed_words")
     k = seed_words
-    own = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{doc_text}`").alias("text"))
-    kind = docs.schema[doc].dataType.simpleString()
-    test = items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("itext")).where("itext is not null")
+    least = min(min_score, k)  # a pair has a run of k words
+    own = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{doc_text}`").alias("text")).where("doc is not null")
+    kind, ikind = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
+    test = items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("itext")).where((F.octet_length("itext") >= 2 * k - 1) & F.col("item").isNotNull())
     n_bytes = test.agg(F.sum(F.octet_length("itext"))).first()[0] or 0
     small = n_bytes <= broadcast_bytes
+    wanted = F.col("score") >= min_score
+    names = {"doc": doc, "item": item}
+    if small and not exact:
+        rows = [(r[0], r[1]) for r in test.toLocalIterator()]
+        return _aligned_near(own, kind, ikind, rows, k, least).where(wanted).withColumnsRenamed(names)
     seeds = materialize(_item_seeds(test, "item", "itext", k))
     if small:
         found = np.unique(np.array([r[0] for r in seeds.select("seed").distinct().toLocalIterator()], np.int64))
@@ -169,43 +296,26 @@ def find_leaks(
     else:
         suspects = _hits_far(own.where("text is not null"), kind, seeds, k)
     suspects = materialize(suspects)
-
-    held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed")
-    common = held.distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
-    # an item of fewer than min_words words keeps its rarest seeds as well
-    window = Window.partitionBy("item").orderBy("ipos").rowsBetween(0, min_words - k)
-    ranked = seeds.join(common, "seed", "left").withColumn("pick", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "ipos", "seed")).over(window))
-    chosen = ranked.where("pick.docs > 0").select("item", F.col("pick.ipos").alias("ipos"), F.col("pick.seed").alias("seed")).distinct()
-    chosen = F.broadcast(chosen) if small else chosen
-    near = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed", "h.dpos").join(chosen, "seed")
-    pairs = near.groupBy("doc", "item").agg(F.collect_set(F.col("dpos") - F.col("ipos")).alias("offsets"))
+    if exact:
+        pairs = _rare_pairs(suspects, seeds, small, k, min_words)
+        wanted &= F.col("exact_words") >= min_words
+    else:
+        held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed").distinct()
+        pairs = held.join(seeds.select("item", "seed").distinct(), "seed").select("doc", "item").distinct()
     texts = F.broadcast(test) if small else test
     cands = pairs.join(suspects.select("doc", "text"), "doc").join(texts, "item")
-    ikind = items.schema[item].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            near = defaultdict(list)
+            for d, i, text, itext in zip(batch["doc"], batch["item"], batch["text"], batch["itext"]):
+                near[itext].append((d, i, words(text)))
             out = []
-            for d, i, text, itext, offsets in zip(batch["doc"], batch["item"], batch["text"], batch["itext"], batch["offsets"]):
-                dw, iw = words(text), words(itext)
-                best = (0.0, 0, 0, 0)
-                for lo, hi in _stretches(offsets, len(iw), len(dw)):
-                    got = align(dw[lo:hi], iw)
-                    best = (max(best[0], got[0]), 0, 0, max(best[3], got[3]))
-                out.append((d, i, best[0], best[3], len(iw), len(dw)))
-            yield pd.DataFrame(out, columns=["doc", "item", "score", "exact_words", "item_words", "doc_words"])
-
-    aligned = cands.select("doc", "item", "text", "itext", "offsets").mapInPandas(run, f"doc {kind}, item {ikind}, score double, exact_words int, item_words int, doc_words int")
-    return aligned.where(F.col("score") >= min_score).withColumnsRenamed({"doc": doc, "item": item})
-
-
-def _stretches(offsets: list[int], n_item: int, n_doc: int, slack: int = 16) -> list[tuple[int, int]]:
-    """Parts of the document that the item may lie over, merged where they touch."""
-    out: list[list[int]] = []
-    for o in sorted(offsets):
-        lo, hi = max(0, o - slack), min(n_doc, o + n_item + slack)
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
+            for itext, some in near.items():
+                it = words(itext)
+                for (d, i, w), got in zip(some, _aligned([x[2] for x in some], it, least)):
+                    out.append((d, i, float(got[0]), got[1], len(it), len(w)))
+            yield pd.DataFrame(out, columns=_COLUMNS, dtype=object)
+
+    aligned = cands.select("doc", "item", "text", "itext").mapInPandas(run, f"doc {kind}, item {ikind}, score double, exact_words int, item_words int, doc_words int")
+    return aligned.where(wanted).withColumnsRenamed(names)

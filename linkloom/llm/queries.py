@@ -83,7 +83,7 @@ def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    leaks = find_leaks(_documents(spark, d), table(spark, d, "eval_items"))
+    leaks = find_leaks(_documents(spark, d), table(spark, d, "eval_items"), exact=True)
     return leaks.where("exact_words >= 12").select("doc_id", "item_id")
 
 

@@ -13,7 +13,7 @@ from linkloom.llm import tokenizers  # noqa: E402
 from linkloom.llm.distinctive import score_terms  # noqa: E402
 from linkloom.llm.frequency import term_frequencies  # noqa: E402
 from linkloom.llm.groups import connected_groups, page_pairs  # noqa: E402
-from linkloom.llm.leaks import align, find_leaks, words  # noqa: E402
+from linkloom.llm.leaks import align, align_all, find_leaks, words  # noqa: E402
 from linkloom.llm.lookalikes import Trie, consistent_form, normalize_look, same_look_pairs  # noqa: E402
 from linkloom.llm.markup import clean_markup, read_markup, select_content, strip_markup  # noqa: E402
 from linkloom.llm.mixing import mix_sources  # noqa: E402
@@ -206,6 +206,42 @@ def test_leaks(spark, near):
     assert find_leaks(d.limit(0), t).count() == 0 and find_leaks(d, t.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("near", [1 << 20, 0])
+def test_leaks_of_edited_copies(spark, near):
+    rnd = random.Random(8)
+    items = [(i, " ".join(f"w{rnd.randrange(60)}" for _ in range(40))) for i in range(6)]
+    docs = []
+    for i in range(40):
+        own = words(items[i % 6][1])
+        for j in range(rnd.randrange(6), 40, rnd.choice([5, 7, 9, 11])):  # a word changed every few words
+            own[j] = f"new{i}"
+        docs.append((i, " ".join(rnd.choices(["a", "b", "w1", "w2", "w3"], k=rnd.randrange(50)) + own + rnd.choices(["c", "w4", "w5"], k=30))))
+    docs.append((40, docs[0][1] + " and now " * 30 + docs[1][1]))
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    t = spark.createDataFrame(items, "item_id int, text string")
+    grams = lambda text: {tuple(words(text)[j : j + 6]) for j in range(len(words(text)) - 5)}
+    want = {}
+    for i, x in docs:
+        for j, y in items:
+            score, _, _, longest = align(words(x), words(y))
+            if grams(x) & grams(y) and score >= 8:
+                want[i, j] = score, longest
+    assert len(want) > 25 and min(v[1] for v in want.values()) < 8
+    assert {(r.doc_id, r.item_id): (r.score, r.exact_words) for r in find_leaks(d, t, broadcast_bytes=near).collect()} == want
+    exact = find_leaks(d, t, broadcast_bytes=near, min_words=8, exact=True).collect()
+    assert {(r.doc_id, r.item_id): (r.score, r.exact_words) for r in exact} == {k: v for k, v in want.items() if v[1] >= 8}
+
+
+def test_alignment_of_many():
+    rnd = random.Random(9)
+    item = rnd.choices("abcdefgh", k=30)
+    docs = [rnd.choices("abcdefghxyz", k=rnd.randrange(120)) for _ in range(50)] + [[], item, item[:14] + ["x"] * 4 + item[11:]]
+    for x, got in zip(docs, align_all(docs, item, 4)):
+        score, _, _, longest = align(x, item)
+        assert got == (score, longest) or max(score, longest) < 4
+    assert align_all([], item, 4) == [] and align_all([["x"]], item, 4) == [(0, 0)]
+
+
 def test_alignment():
     item = "a b c d e f g h i j".split()
     assert align(item, item)[0] == 10 and align(item, item)[3] == 10
