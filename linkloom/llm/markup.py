@@ -2,7 +2,9 @@
 text, and content selection by tag-path ratios.
 
 The text is read once into nodes ``(path, kind, text)``; ``path`` is the
-root-to-leaf tag path.  Lengths of text and numbers of punctuation marks are
+root-to-leaf tag path: the open tags that hold the whole node. Text outside of
+all tags is ``body/p``, and what other syntaxes mark has the names heading,
+list, code, formula, table, item and template.  Lengths of text and numbers of punctuation marks are
 added up per path, both ratios are smoothed along the document, fused into one
 score, and paths under the threshold (templates, captions, notes, navigation)
 are dropped.  Headings, lists, code, formulas and tables always stay.
@@ -33,6 +35,13 @@ INLINE_TAGS = (
     "references rp rt ruby s samp script section select small span strike strong style sub summary sup tbody td "
     "tfoot th thead time title tr tt u ul var wbr"
 ).split()
+# Tags that end a paragraph, and tags that are no part of a path: those without content and those of the page or the wiki.
+BLOCK_TAGS = frozenset(
+    "address article aside blockquote body caption center dd div dl dt figcaption figure footer form gallery head header html li main nav ol option "
+    "p poem section select summary table tbody td tfoot th thead tr ul".split()
+)
+PATHLESS_TAGS = frozenset("body br col head hr html img includeonly input link meta noinclude nowiki wbr".split())
+DEPTH = 512  # of the tags that are kept open, as in browsers; a deeper tag adds nothing to the path
 # LaTeX environments by kind.
 CODE_ENVS = "verbatim|lstlisting|minted|Verbatim"
 MATH_ENVS = "equation|align|displaymath|gather|eqnarray|multline|math"
@@ -41,6 +50,8 @@ LIST_ENVS = "itemize|enumerate|description"
 
 _S, _E = "\x01", "\x02"  # brackets of a placeholder for a block taken out of the text
 _PLACE = re.compile(f"{_S}(\\d+){_E}")
+_M = "\x03"  # brackets of a placeholder for a tag of a line
+_MARK = re.compile(f"{_M}(\\d+){_M}")
 
 _LEAF = re.compile(
     rf"""
@@ -120,12 +131,65 @@ def unescape_once(text: str) -> str:
     return text.replace("&amp;", "&")
 
 
+class _Path:
+    """Open tags from the root to the last one."""
+
+    __slots__ = ("depth", "kids", "name", "parent", "text")
+
+    def __init__(self, name: str, parent: _Path | None) -> None:
+        self.name, self.parent = name, parent
+        self.kids: dict[str, _Path] = {}
+        self.depth: int = parent.depth + 1 if parent else 0
+        self.text: str = f"{parent.text}/{name}" if parent else name
+
+    def then(self, name: str) -> _Path:
+        if name not in self.kids:
+            self.kids[name] = _Path(name, self)
+        return self.kids[name]
+
+    def shared(self, other: _Path) -> _Path:
+        """The tags open in both."""
+        a, b = self, other
+        while a is not b:
+            if a.depth >= b.depth:
+                a = a.parent
+            else:
+                b = b.parent
+        return a
+
+    def block(self) -> _Path:
+        """Up to the last tag that ends paragraphs."""
+        at = self
+        while at.parent and at.name not in BLOCK_TAGS:
+            at = at.parent
+        return at
+
+    def after(self, name: str, closing: bool) -> _Path:
+        """The path after a tag. A block ends an open ``p``; an end tag without a start tag changes nothing."""
+        if name in PATHLESS_TAGS:
+            return self
+        at: _Path | None = self
+        if closing:
+            while at and at.name != name:
+                at = at.parent
+            return at.parent if at and at.parent else self
+        if name in BLOCK_TAGS:
+            while at and at.name != "p":
+                at = at.parent if at.name not in BLOCK_TAGS else None
+        else:
+            at = None
+        start = at.parent if at else self
+        return start.then(name) if start.depth < DEPTH else start
+
+
 class _Reader:
     """State of reading one text."""
 
-    __slots__ = ("blocks", "found", "nodes")
+    __slots__ = ("blocks", "found", "nodes", "path", "tags")
 
     def __init__(self) -> None:
+        self.path = _Path("body", None)  # after the tags read so far
+        self.tags: list[tuple[bool, _Path]] = []  # of the line: whether it ends a paragraph, path after it
         self.blocks: list[tuple[str, str]] = []
         self.found: set[str] = set()
         self.nodes: list[tuple[str, str, str]] = []
@@ -282,9 +346,28 @@ class _Reader:
             self.found.add("inline")
         return s
 
+    def _tag(self, m: re.Match) -> str:
+        """A tag's placeholder; the path goes on from it."""
+        self.found.add("inline")
+        name = m[0].strip("</>").split(None, 1)[0].rstrip("/").lower()
+        if not m[0].endswith("/>"):
+            self.path = self.path.after(name, m[0][1] == "/")
+        self.tags.append((name in BLOCK_TAGS, self.path))
+        return f"{_M}{len(self.tags) - 1}{_M}"
+
+    def _tagged(self, line: str) -> str:
+        """The line with placeholders for its tags."""
+        self.tags = []
+        if "<" not in line:
+            return line
+        t = _REF.sub("", line)
+        if t != line:
+            self.found.add("inline")
+        return _TAG.sub(self._tag, t)
+
     # -- the lines that remain ---------------------------------------------
     def read(self, text: str) -> None:
-        text = unescape_once(text).replace("\r\n", "\n").replace(_S, "").replace(_E, "")
+        text = unescape_once(text).replace("\r\n", "\n").replace(_S, "").replace(_E, "").replace(_M, "")
         if "<" in text or "$" in text or "\\" in text or "`" in text or "~~~" in text:
             text = _LEAF.sub(self._leaf, text)
         if "{|" in text or "<" in text or "\\" in text:
@@ -299,14 +382,57 @@ class _Reader:
                 text = t
         lines = text.split("\n")
         para: list[str] = []
+        over: list[_Path] = []  # paths of the paragraph's text
         i, n = 0, len(lines)
 
-        def flush(path: str = "body/p") -> None:
+        def flush(leaf: str = "") -> None:
             if para:
                 joined = "\n".join(para).strip()
                 para.clear()
                 if joined:
-                    self.nodes.append((path, "text", joined))
+                    path = over[0]
+                    for x in over:
+                        path = path.shared(x)
+                    at = path.block()
+                    if leaf:
+                        name = f"{at.text}/{leaf}"
+                    else:  # outside of blocks a paragraph has no tag of its own
+                        name = path.text if at.parent else "body/p" + path.text[4:]
+                    self.nodes.append((name, "text", joined))
+            over.clear()
+
+        def add(line: str) -> None:
+            """A line of a paragraph; blocks that start or end in it end the paragraph."""
+            at = self.path
+            line = self._inline(self._tagged(line))
+            if not self.tags:
+                para.append(self._expand(line))
+                over.append(at)
+                return
+            part, ended = "", False
+            pieces = _MARK.split(line)
+            for x, piece in enumerate(pieces):
+                if x % 2:
+                    ends, at = self.tags[int(piece)]
+                    if ends:
+                        para.append(part)
+                        flush()
+                        part, ended = "", True
+                    continue
+                piece = self._expand(piece)
+                part += piece
+                if piece.strip():
+                    over.append(at)
+            if part.strip() or not ended:
+                para.append(part)
+
+        def pass_tags(*passed: str) -> None:
+            """Tags of lines that are no paragraph."""
+            for x in passed:
+                self._tagged(x)
+
+        def here() -> str:
+            return self.path.block().text
 
         while i < n:
             line = lines[i]
@@ -319,13 +445,14 @@ class _Reader:
             if m and self.blocks[int(m[1])][0] in ("code", "formula", "list", "table", "heading", "template"):
                 flush()
                 kind, body = self.blocks[int(m[1])]
-                self.nodes.append((f"body/{kind}", kind, self._expand(body)))
+                self.nodes.append((f"{here()}/{kind}", kind, self._expand(body)))
                 i += 1
                 continue
             if m := _WIKI_HEAD.match(line):
                 flush()
                 self.found.add("heading")
-                self.nodes.append(("body/heading", "heading", "#" * len(m[1]) + " " + self._expand(self._inline(m["h"]))))
+                self.nodes.append((f"{here()}/heading", "heading", "#" * len(m[1]) + " " + self._expand(self._inline(m["h"]))))
+                pass_tags(line)
                 i += 1
                 continue
             if s[0] == "#" and _HASH.match(line):
@@ -336,7 +463,8 @@ class _Reader:
                     flush()
                     self.found.add("heading")
                     level = len(s) - len(s.lstrip("#"))
-                    self.nodes.append(("body/heading", "heading", "#" * min(level, 6) + " " + self._expand(self._inline(s.strip("#").strip()))))
+                    self.nodes.append((f"{here()}/heading", "heading", "#" * min(level, 6) + " " + self._expand(self._inline(s.strip("#").strip()))))
+                    pass_tags(line)
                     i += 1
                     continue
             if _HR.match(line) and not (para and _SETEXT.match(line)):
@@ -347,7 +475,8 @@ class _Reader:
             if i + 1 < n and _SETEXT.match(lines[i + 1]) and len(lines[i + 1].strip()) >= 2 and not para and not _ITEM.match(line) and "|" not in s:
                 self.found.add("heading")
                 level = 1 if lines[i + 1].strip()[0] == "=" else 2
-                self.nodes.append(("body/heading", "heading", "#" * level + " " + self._expand(self._inline(s))))
+                self.nodes.append((f"{here()}/heading", "heading", "#" * level + " " + self._expand(self._inline(s))))
+                pass_tags(line)
                 i += 2
                 continue
             if "|" in s and i + 1 < n and "|" in lines[i + 1] and _MD_RULE.match(lines[i + 1]):
@@ -357,7 +486,8 @@ class _Reader:
                     j += 1
                 rows = [re.split(r"(?<!\\)\|", x.strip().strip("|")) for x in (lines[i], *lines[i + 2 : j])]
                 m = _PLACE.search(self._table(rows))
-                self.nodes.append(("body/table", "table", self._expand(self.blocks[int(m[1])][1])))
+                self.nodes.append((f"{here()}/table", "table", self._expand(self.blocks[int(m[1])][1])))
+                pass_tags(*lines[i:j])
                 i = j
                 continue
             if _ITEM.match(line) and not self._emphasis_only(line):
@@ -377,16 +507,18 @@ class _Reader:
                     body = "\n".join(
                         (f"{mark} " if mark[0].isdigit() else f"{'  ' * (len(mark) - 1)}- ") + self._expand(self._inline(x)).strip() for mark, x in items
                     )
-                    self.nodes.append(("body/list", "list", body))
+                    self.nodes.append((f"{here()}/list", "list", body))
                 else:
                     para.append(self._expand(self._inline(items[0][1])))
-                    flush("body/item")
+                    over.append(self.path)
+                    flush("item")
+                pass_tags(*lines[i:j])
                 i = j
                 continue
             if m := _QUOTE.match(line):
                 self.found.add("inline")
                 line = line[m.end() :]
-            para.append(self._expand(self._inline(line)))
+            add(line)
             i += 1
         flush()
 

@@ -149,6 +149,25 @@ def test_tag_path_ratios():
     assert "".join(t for _, _, t in read_markup("{{Infobox\n| name = In its\n| area = 3\n}}\nText.")[0])
 
 
+def test_tag_paths():
+    prose = "The river passes the old town, turns west, and ends, after many miles, in a lake. " * 3
+    page = (
+        "<html><body><nav><a href='x'>Home</a> | <a href='y'>About</a></nav>\n<article><p>{0}</p><p>{0} It goes <b>on</b>.<br>{0}</p>\n{0}\n<p>{0}\n\n"
+        "<div class=note><span>See also</span></div></article>\n<footer>Imprint</footer></body></html>\n<div>\n# Head\n</div></div>\nThe <i>end</i>, {0}"
+    ).format(prose)
+    paths = [x[0] for x in read_markup(page)[0]]
+    assert [p for p in paths if "p" not in p.split("/")] == ["body/nav", "body/article", "body/article/div/span", "body/footer", "body/div/heading"]
+    assert paths.count("body/article/p") == 3 and paths[-1] == "body/p"
+    clean = clean_markup(page)[0]
+    assert clean.count(prose.strip()) == 6 and "It goes on." in clean and "# Head" in clean and "The end," in clean
+    assert not any(x in clean for x in ("Home", "See also", "Imprint"))
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>a\n", "<b>", "</p>", "<p>a"])
+def test_tag_paths_of_many_tags(unit):
+    assert isinstance(clean_markup(unit * 5000)[0], str)
+
+
 @pytest.mark.parametrize("unit", [" _a", "`a ", "[", "[[", " *a", "{{", "}}", "$a ", "&lt;ref&gt;", "* a\n", "# a\n\n", "| a | b\n", "&lt;ul&gt;", "\\href{"])
 def test_markup_of_long_openings(unit):
     assert isinstance(clean_markup(unit * 5000)[0], str)
