@@ -54,13 +54,17 @@ def _all_seeds(ids: pd.Series, texts: pd.Series, k: int, id_name: str, place: st
     })
 
 
-def _item_seeds(items: DataFrame, item: str, text: str, k: int) -> DataFrame:
+def _item_seeds(items: DataFrame, k: int) -> DataFrame:
+    """Seeds of each row: several texts of one item are told apart by ``version``."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield _all_seeds(batch["item"], batch["text"], k, "item", "ipos")
+            out = _all_seeds(pd.Series(range(len(batch))), batch["itext"], k, "row", "ipos")
+            of = batch[["item", "version"]].take(out["row"]).reset_index(drop=True)
+            yield pd.concat([of, out[["ipos", "seed"]]], axis=1)
 
-    kind = items.schema[item].dataType.simpleString()
-    return items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text")).mapInPandas(run, f"item {kind}, ipos int, seed bigint")
+    kind = items.schema["item"].dataType.simpleString()
+    return items.select("item", "version", "itext").mapInPandas(run, f"item {kind}, version bigint, ipos int, seed bigint")
 
 
 def _hits_near(docs: DataFrame, kind: str, vocabulary: dict[str, int], seeds: np.ndarray, k: int) -> DataFrame:
@@ -245,10 +249,10 @@ def _rare_pairs(suspects: DataFrame, seeds: DataFrame, small: bool, k: int, min_
     held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed")
     common = held.distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
     # an item of fewer than min_words words keeps its rarest seeds as well
-    window = Window.partitionBy("item").orderBy("ipos").rowsBetween(0, min_words - k)
+    window = Window.partitionBy("item", "version").orderBy("ipos").rangeBetween(0, min_words - k)
     ranked = seeds.join(common, "seed", "left").withColumn("pick", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "ipos", "seed")).over(window))
-    chosen = ranked.where("pick.docs > 0").select("item", F.col("pick.seed").alias("seed")).distinct()
-    return held.join(F.broadcast(chosen) if small else chosen, "seed").select("doc", "item").distinct()
+    chosen = ranked.where("pick.docs > 0").select("item", "version", F.col("pick.seed").alias("seed")).distinct()
+    return held.join(F.broadcast(chosen) if small else chosen, "seed").select("doc", "item", "version").distinct()
 
 
 def find_leaks(
@@ -279,14 +283,15 @@ def find_leaks(
     own = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{doc_text}`").alias("text")).where("doc is not null")
     kind, ikind = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     test = items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("itext")).where((F.octet_length("itext") >= 2 * k - 1) & F.col("item").isNotNull())
+    test = test.withColumn("version", F.xxhash64("itext"))
     n_bytes = test.agg(F.sum(F.octet_length("itext"))).first()[0] or 0
     small = n_bytes <= broadcast_bytes
     wanted = F.col("score") >= min_score
     names = {"doc": doc, "item": item}
     if small and not exact:
-        rows = [(r[0], r[1]) for r in test.toLocalIterator()]
+        rows = [(r[0], r[1]) for r in test.select("item", "itext").toLocalIterator()]
         return _aligned_near(own, kind, ikind, rows, k, least).where(wanted).withColumnsRenamed(names)
-    seeds = materialize(_item_seeds(test, "item", "itext", k))
+    seeds = materialize(_item_seeds(test, k))
     if small:
         found = np.unique(np.array([r[0] for r in seeds.select("seed").distinct().toLocalIterator()], np.int64))
         if not len(found):
@@ -301,9 +306,9 @@ def find_leaks(
         wanted &= F.col("exact_words") >= min_words
     else:
         held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed").distinct()
-        pairs = held.join(seeds.select("item", "seed").distinct(), "seed").select("doc", "item").distinct()
+        pairs = held.join(seeds.select("item", "version", "seed").distinct(), "seed").select("doc", "item", "version").distinct()
     texts = F.broadcast(test) if small else test
-    cands = pairs.join(suspects.select("doc", "text"), "doc").join(texts, "item")
+    cands = pairs.join(suspects.select("doc", "text"), "doc").join(texts, ["item", "version"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

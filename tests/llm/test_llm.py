@@ -251,6 +251,16 @@ def test_leaks_of_edited_copies(spark, near):
     assert {(r.doc_id, r.item_id): (r.score, r.exact_words) for r in exact} == {k: v for k, v in want.items() if v[1] >= 8}
 
 
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("near", [1 << 20, 0])
+def test_leaks_of_two_texts_of_one_item(spark, near, exact):
+    leaked, other = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    t = spark.createDataFrame([(1, leaked), (1, other), (2, other)], "item_id int, text string")
+    d = spark.createDataFrame([(7, "so " + leaked.rsplit(" ", 15)[0] + " it is"), (8, "none of it")], "doc_id bigint, text string")
+    got = find_leaks(d, t, broadcast_bytes=near, exact=exact).collect()
+    assert [(r.doc_id, r.item_id, r.exact_words) for r in got] == [(7, 1, 15)]
+
+
 def test_alignment_of_many():
     rnd = random.Random(9)
     item = rnd.choices("abcdefgh", k=30)
