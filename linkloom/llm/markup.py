@@ -18,6 +18,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -107,9 +109,11 @@ _MD_LINK = re.compile(r"\[([^\[\]\n]+)\]\((?:[^()\s]|\([^()\s]*\))*(?:\s+\"[^\"\
 _MD_REF = re.compile(r"\[\^[^\]\s]+\]:?|\[([^\[\]\n]+)\]\[[^\[\]\n]*\]|^[ \t]*\[[^\]\n]+\]:[ \t]+\S+.*$", re.M)
 _AUTO = re.compile(r"<(https?://[^<>\s]+|mailto:[^<>\s]+)>")
 _BARE_QUOTES = re.compile(r"'{2,}")
-_TICK = re.compile(r"(`+)(?!`)([^\n]{1,2000}?)(?<!`)\1(?!`)")  # bounded, so that a long line of openings stays linear
+_TICKS = re.compile(r"`+")
 _STRONG = re.compile(r"(?<![\w*\\])(\*\*|\*)(?![\s*])([^*\n]+?)(?<![\s*])\1(?![\w*])")
-_UNDER = re.compile(r"(?<![\w_\\])(__|_)(?![\s_])([^\n]{1,2000}?)(?<![\s_])\1(?![\w_])")
+_UNDERS = re.compile(r"_+")
+_UNDER_OPENS = re.compile(r"(?<![\w\\])_+(?=[^\s_])")
+_UNDER_CLOSES = re.compile(r"(?<=\S)_+(?!\w)")
 _STRIKE = re.compile(r"~~(?![\s~])([^~\n]+?)(?<![\s~])~~")
 _TEX_DROP = re.compile(r"\\(?:label|cite[a-z]*|ref|eqref|pageref|index|vspace|hspace|includegraphics|usepackage|documentclass|bibliography(?:style)?|begin|end|footnotemark)\*?(?:\[[^\]\n]*\])*(?:\{[^{}\n]*\})+")
 _TEX_HREF = re.compile(r"\\href\{[^{}\n]*\}\{([^{}\n]*)\}")
@@ -131,6 +135,53 @@ def unescape_once(text: str) -> str:
     return text.replace("&amp;", "&")
 
 
+def _without(line: str, drop: list[tuple[int, int]]) -> str:
+    out, at = [], 0
+    for a, b in sorted(drop):
+        out.append(line[at:a])
+        at = b
+    return "".join(out) + line[at:]
+
+
+def _without_ticks(line: str) -> str:
+    """The line without the marks of inline code: a run of backticks, or else
+    its end, ends at the next run of just that length."""
+    runs = [m.span() for m in _TICKS.finditer(line)]
+    if len(runs) < 2:
+        return line
+    by_length: dict[int, list[int]] = {}
+    for i, (a, b) in enumerate(runs):
+        by_length.setdefault(b - a, []).append(i)
+    drop, i = [], 0
+    while i < len(runs):
+        a, b = runs[i]
+        i += 1
+        for k in range(b - a, 0, -1):
+            same = by_length.get(k, ())
+            x = bisect_left(same, i)
+            if x < len(same):
+                drop += [(b - k, b), runs[same[x]]]
+                i = same[x] + 1
+                break
+    return _without(line, drop)
+
+
+def _without_underscores(line: str) -> str:
+    """The line without the marks of emphasis: a closing mark of one or two
+    underscores takes the first opening mark of its length that is left."""
+    drop: list[tuple[int, int]] = []
+    opened: dict[int, deque[tuple[int, int]]] = {1: deque(), 2: deque()}
+    for m in _UNDERS.finditer(line):
+        before = opened.get(len(m[0]))
+        if before is None:
+            continue
+        if before and _UNDER_CLOSES.match(line, m.start()):
+            drop += [before.popleft(), m.span()]
+        elif _UNDER_OPENS.match(line, m.start()):
+            before.append(m.span())
+    return _without(line, drop)
+
+
 class _Path:
     """Open tags from the root to the last one."""
 
@@ -321,7 +372,7 @@ class _Reader:
         if "<" in s:
             s = _TAG.sub("", s)
         if "`" in s:
-            s = _TICK.sub(r"\2", s)
+            s = "\n".join(map(_without_ticks, s.split("\n")))
         if "''" in s:
             s = _BARE_QUOTES.sub("", s)
         if "\\" in s:
@@ -336,8 +387,7 @@ class _Reader:
                 s = t
         if "_" in s:
             s = _MAGIC.sub("", s)
-            while (t := _UNDER.sub(r"\2", s)) != s:
-                s = t
+            s = "\n".join(map(_without_underscores, s.split("\n")))
         if "~~" in s:
             s = _STRIKE.sub(r"\1", s)
         if "&" in s and _ENTITY.search(s):

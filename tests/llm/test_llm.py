@@ -149,6 +149,26 @@ def test_tag_path_ratios():
     assert "".join(t for _, _, t in read_markup("{{Infobox\n| name = In its\n| area = 3\n}}\nText.")[0])
 
 
+@pytest.mark.parametrize("mark", ["`", "``", "_", "__"])
+def test_long_inline_spans(mark):
+    inside = "many words, " * 400 + "end"
+    assert clean_markup(f"So {mark}{inside}{mark} it is.") == (f"So {inside} it is.", ["inline"])
+    assert clean_markup(f"So {mark}{inside} it is.") == (f"So {mark}{inside} it is.", [])
+
+
+def test_inline_spans_of_one_line():
+    for text, want in [
+        ("a `b` ``c ` d`` e", "a b c ` d e"), ("``a`", "`a"), ("`a``", "`a``"), ("`a\nb`", "`a\nb`"), ("_a_ __b _c_ d__ e_f_g", "a b c d e_f_g"), ("_a _b c_", "a _b c"),
+        ("_ a_ ___b___", "_ a_ ___b___"), ("_a\nb_", "_a\nb_"), (" _a" * 9 + " b_" * 9, " a" * 9 + " b" * 9),
+    ]:
+        assert clean_markup(text)[0] == want.strip()
+
+
+@pytest.mark.parametrize("unit", [" _a", "`a ", "b_ ", "(_)"])
+def test_long_marks_stay_linear(unit):
+    assert isinstance(clean_markup(unit * 50_000 + "b_ " * 50_000)[0], str)
+
+
 def test_tag_paths():
     prose = "The river passes the old town, turns west, and ends, after many miles, in a lake. " * 3
     page = (
