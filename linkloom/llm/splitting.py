@@ -29,12 +29,18 @@ def split_text(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, r
     target moves to the strongest boundary within ``reach`` of a piece, the
     nearest of the strongest. A piece repeats the last ``overlap`` tokens
     before its cut. If any piece is over the limit, more pieces are tried; a
-    text that four times as many can't hold keeps half the overlap.
+    text that four times as many can't hold keeps half the overlap, and one
+    that can't be held with none is halved anywhere.
     """
+    return split_fitting(text, limit, overlap, tokens, reach)[0]
+
+
+def split_fitting(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, reach: float = 0.15) -> tuple[list[tuple[int, int, int]], int, bool]:
+    """The pieces of ``split_text``, the overlap they were cut with, and whether the text was halved anywhere."""
     ends = tokens.ends(text)
     n = len(ends)
     if n <= limit:
-        return [(0, len(text), n)]
+        return [(0, len(text), n)], overlap, False
     pieces = least = -(-(n - overlap) // (limit - overlap))
     while True:
         length = (n + (pieces - 1) * overlap) / pieces
@@ -55,12 +61,12 @@ def split_text(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, r
         spans = list(zip(starts, [*cuts, len(text)]))
         sizes = [tokens.count(text[a:b]) for a, b in spans]
         if max(sizes) <= limit and all(a < b for a, b in spans):
-            return [(a, b, s) for (a, b), s in zip(spans, sizes)]
+            return [(a, b, s) for (a, b), s in zip(spans, sizes)], overlap, False
         pieces = max(pieces + 1, pieces * 51 // 50)
         if pieces > 4 * least or pieces > n:
             if overlap == 0:
-                return _halves(text, limit, tokens)
-            return split_text(text, limit, overlap // 2, tokens, reach)
+                return _halves(text, limit, tokens), 0, True
+            return split_fitting(text, limit, overlap // 2, tokens, reach)
 
 
 def _halves(text: str, limit: int, tokens: tokenizers.Tokens) -> list[tuple[int, int, int]]:
@@ -89,11 +95,14 @@ def _snap(text: str, ends: list[int], lo: int, target: int, hi: int) -> int:
 def split_items(
     rows: DataFrame, item_id: str, text: str, limit: int = 2000, overlap: int = 200, only_oversized: bool = True, tokenizer: str = tokenizers.NAME, folder: str = tokenizers.FOLDER
 ) -> DataFrame:
-    """(``item_id``, ``piece``, ``pieces``, ``start``, ``end``, ``n_tokens``, ``piece_text``), one row per piece.
+    """(``item_id``, ``piece``, ``pieces``, ``start``, ``end``, ``n_tokens``, ``piece_text``, ``overlap``, ``halved``), one row per piece.
 
     ``piece`` counts from 0; ``start`` and ``end`` are code points of the
     text, so the pieces less their overlaps give the text back. No piece has
-    more than ``limit`` tokens. Texts within the limit come out whole, as
+    more than ``limit`` tokens. ``overlap`` is the overlap that the text's
+    pieces were cut with: less than asked for if the text can't be held
+    within the limit otherwise, and 0 with ``halved`` if it was cut anywhere,
+    regardless of boundaries. Texts within the limit come out whole, as
     piece 0 of 1, unless ``only_oversized``; null and empty texts then give
     one row with 0 tokens, and otherwise none. Rows with one id are split
     each for itself; extra columns are ignored.
@@ -111,12 +120,12 @@ def split_items(
         for batch in batches:
             out = []
             for i, t in zip(batch["id"], batch["text"]):
-                spans = split_text(t, limit, overlap, tokens) if t else [(0, 0, 0)]
+                spans, used, halved = split_fitting(t, limit, overlap, tokens) if t else ([(0, 0, 0)], overlap, False)
                 if only_oversized and len(spans) < 2 and spans[0][2] <= limit:
                     continue
-                out += [(i, k, len(spans), a, b, s, t[a:b] if t else t) for k, (a, b, s) in enumerate(spans)]
-            yield pd.DataFrame(out, columns=["id", "piece", "pieces", "start", "end", "n_tokens", "piece_text"])
+                out += [(i, k, len(spans), a, b, s, t[a:b] if t else t, used, halved) for k, (a, b, s) in enumerate(spans)]
+            yield pd.DataFrame(out, columns=["id", "piece", "pieces", "start", "end", "n_tokens", "piece_text", "overlap", "halved"])
 
     kind = rows.schema[item_id].dataType.simpleString()
-    done = own.mapInPandas(run, f"id {kind}, piece int, pieces int, start bigint, `end` bigint, n_tokens bigint, piece_text string")
+    done = own.mapInPandas(run, f"id {kind}, piece int, pieces int, start bigint, `end` bigint, n_tokens bigint, piece_text string, overlap int, halved boolean")
     return done.withColumnRenamed("id", item_id)

@@ -362,6 +362,17 @@ def test_split(spark, limit, overlap):
     assert over == {k for k, v in TEXTS.items() if v and tokens.count(v) > limit}
 
 
+def test_split_tells_the_overlap_used(spark):
+    df = spark.createDataFrame([(1, TEXTS[7]), (2, TEXTS[4]), (3, TEXTS[5]), (4, "😀é𝕏 " * 40)], "id int, text string")
+
+    def used(limit, overlap):
+        return {r.id: (r.overlap, r.halved) for r in split_items(df, "id", "text", limit, overlap, only_oversized=False).collect()}
+
+    assert used(100, 20) == {i: (20, False) for i in (1, 2, 3, 4)}
+    got = used(3, 2)
+    assert got[3] == (2, False) and got[4] == (0, True)
+
+
 def test_split_prefers_natural_boundaries():
     spans = split_text(TEXTS[1], 100, 0, tokenizers.load())
     assert sum(TEXTS[1][b - 2 : b] in ("\n\n", ". ") or b == len(TEXTS[1]) for _, b, _ in spans) == len(spans)
