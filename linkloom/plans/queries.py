@@ -237,10 +237,15 @@ def word_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).select("doc_id", F.size(ngrams.pieces(F.col("text"))).alias("pieces"))
 
 
+def paragraph_ngram_counts(spark: SparkSession, d: str) -> DataFrame:
+    """All n-grams, however rare."""
+    grams = ngrams.with_simple_ngrams(_documents(spark, d).select("text"), "text", "gram")
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+
 def paragraph_ngrams(spark: SparkSession, d: str) -> DataFrame:
     """N-grams that occur ten times or more."""
-    grams = ngrams.with_simple_ngrams(_documents(spark, d).select("text"), "text", "gram")
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n >= 10")
+    return paragraph_ngram_counts(spark, d).where("n >= 10")
 
 
 def sf_total_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -298,7 +303,7 @@ QUERIES = {f.__name__: f for f in (
     link_pair_counts, uri_counts, sf_counts, pairs_by_count, page_fields, page_titles, page_redirects, page_redirect_flag, resolved_page_uri, first_line, page_limit,
     dump_scan, map_pages, written_pair_counts, written_uri_counts, document_line_chunks, string_functions, standard_uris, escaped_titles, unescaped_text, string_hashes, redirect_resolution, existing_uris, flat_page_links,
     page_paragraphs, page_links_nested, page_links_outer, stripped_paragraphs, wiki_raw_pairs, wiki_pair_counts, wiki_sf_total_counts, wiki_token_counts,
-    word_pieces, paragraph_ngrams, sf_total_counts, sf_total_counts_fixed, sf_total_counts_pieces, stopword_tokens, analyzed_tokens, mentions_min_contexts, context_token_counts, context_token_strings,
+    word_pieces, paragraph_ngrams, paragraph_ngram_counts, sf_total_counts, sf_total_counts_fixed, sf_total_counts_pieces, stopword_tokens, analyzed_tokens, mentions_min_contexts, context_token_counts, context_token_strings,
 )}
 
 
@@ -421,6 +426,7 @@ SQL = {
         SELECT uri, sf, count(*) AS links FROM p
         WHERE uri <> '' AND length(sf) BETWEEN 2 AND 80 AND len(regexp_extract_all(sf, '[^ ] ')) <= 4
           AND NOT regexp_matches(uri, '^[&"(''-]') AND NOT regexp_matches(sf, '^[&"(''-]') AND NOT contains(sf, chr(9)) GROUP BY uri, sf""",
+    "paragraph_ngram_counts": f"WITH {_GRAMS} SELECT gram, n FROM c",
     "paragraph_ngrams": f"WITH {_GRAMS} SELECT gram, n FROM c WHERE n >= 10",
     "sf_total_counts": f"""
         WITH {_GRAMS} SELECT f.sf, f.n AS link_count, coalesce(c.n, 0) AS text_count FROM f LEFT JOIN c ON gram = f.sf

@@ -163,3 +163,14 @@ def test_key_states_keeps_null_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "k string, v int")
     got = {r.k: (r.rows, r.v_sum, r.v_min, r.v_max, r.v_n) for r in skew.key_states(df, ["k"], {"v": "v"}).collect()}
     assert got == {"a": (2, 1, 1, 1, 1), None: (1, 3, 3, 3, 1)}
+
+
+def test_all_ngrams_are_counted(spark, tmp_path):
+    from linkloom.plans.queries import QUERIES
+
+    texts = ["the old town", "the old bridge", None, ""]
+    docs = spark.createDataFrame([(i, t, None, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, uri string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.gram: r.n for r in QUERIES["paragraph_ngram_counts"](spark, str(tmp_path)).collect()}
+    assert got == {"the": 2, "old": 2, "the old": 2, "town": 1, "old town": 1, "the old town": 1, "bridge": 1, "old bridge": 1, "the old bridge": 1}
+    assert QUERIES["paragraph_ngrams"](spark, str(tmp_path)).count() == 0  # its floor is that of its SQL
