@@ -8,10 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- CONSTANTS: fixed values -------------------------------------------------
 # White space that is trimmed and separates words.
@@ -173,9 +171,20 @@ def unescape(text: str | None) -> str | None:
 
 
 def unescape_xml(s: Column) -> Column:
-    """unescape() on a column: strings without "&" stay in the JVM."""
-    run = F.pandas_udf(lambda x: x.map(unescape, na_action="ignore"), T.StringType())
-    return F.when(F.contains(s, F.lit("&")), run(s)).otherwise(plain_trim(s))
+    """unescape() on a column, without Python: the text is cut at each "&" and
+    each part is held against what may follow one."""
+
+    def part(p: Column, last: Column) -> Column:
+        out = F.when(F.lit(False), p)
+        for mark, char in ESCAPES.items():
+            rest = mark[1:]
+            out = out.when(F.startswith(p, F.lit(rest)) & ~(last & (p == rest)), F.concat(F.lit(char), F.substring(p, F.lit(len(rest) + 1), F.length(p))))
+        return out.otherwise(p)
+
+    def joined(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(part(p, i == F.size(parts) - 1))), "")
+
+    return plain_trim(F.when(F.contains(s, F.lit("&")), let(F.split(s, "&", -1), joined)).otherwise(s))
 
 
 def long_hash(s: str | None) -> int | None:
@@ -190,7 +199,16 @@ def long_hash(s: str | None) -> int | None:
 
 
 def long_hash_column(s: Column) -> Column:
-    return F.pandas_udf(lambda x: pd.Series([long_hash(v) for v in x], dtype="Int64"), T.LongType())(s)
+    """long_hash() on a column, without Python: two halves of 32 bits, so nothing overflows."""
+    low = (1 << 32) - 1
+    units = F.transform(F.regexp_extract_all(F.hex(F.encode(s, "UTF-16BE")), F.lit("(....)"), F.lit(1)), lambda x: F.conv(x, 16, 10).cast("bigint"))
+
+    def step(h: Column, unit: Column) -> Column:
+        new = h.lo * 31 + unit
+        return F.struct((h.hi * 31 + F.shiftright(new, 32)).bitwiseAND(low).alias("hi"), new.bitwiseAND(low).alias("lo"))
+
+    start = F.struct(F.lit(1125899906842597 >> 32).cast("bigint").alias("hi"), F.lit(1125899906842597 & low).cast("bigint").alias("lo"))
+    return F.aggregate(units, start, step, lambda h: F.shiftleft(h.hi, 32).bitwiseOR(h.lo))
 
 
 def utf16_len(s: str) -> int:

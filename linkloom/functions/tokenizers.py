@@ -118,9 +118,15 @@ def register(name: str, analyzer: Analyzer) -> None:
     ANALYZERS[name] = analyzer
 
 
+def analyzer_of(name: str) -> Analyzer:
+    if name not in ANALYZERS:
+        raise ValueError(f"unknown analyzer {name!r}; known are {', '.join(sorted(ANALYZERS))}")
+    return ANALYZERS[name]
+
+
 def analyze(text: Column, analyzer: str = "en.EnglishAnalyzer", stop_words: Collection[str] = ()) -> Column:
     """Terms in order, repeated ones kept: array<string>; null stays null. Stop words match by case."""
-    run_one, stop = ANALYZERS.get(analyzer, simple), frozenset(stop_words)
+    run_one, stop = analyzer_of(analyzer), frozenset(stop_words)
 
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: run_one(x, stop), na_action="ignore")

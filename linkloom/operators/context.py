@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import links as L
+from ..functions.passes import MAX_PARAGRAPH
 from ..functions.text import escape_title, standard_uri, upper_first, utf16_length
 from ..functions.tokenizers import analyze
 from ..session import materialize
+from ..sources.pages import with_line_numbers
 from .lookup import look_up
 from .pairs import paragraph_links
 from .redirects import resolve
 
-MAX_PARAGRAPH = 5000  # fixed value: longer paragraphs (UTF-16 units) are left out
 PREFIX_LENGTH = 28  # fixed value: length of the English prefix, cut from every language's targets in mode "compat"
 
 
@@ -38,9 +39,21 @@ def mentions(
     """(``par_key``, ``uri``): outermost links of the paragraphs to known targets, a target as often as it is linked."""
     short = paragraphs.where(utf16_length(F.col("paragraph")) <= MAX_PARAGRAPH)
     found = paragraph_links(short.select(par_key, "paragraph"), nested=False, min_length=min_length, max_length=max_length, max_tokens=max_tokens)
-    moved = resolve(materialize(found.select(par_key, "uri")), "uri", redirects)
-    moved = moved.select(par_key, upper_first(F.col("resolved")).alias("uri")).withColumn("key", known_key(F.col("uri"), language, mode))
-    return look_up(materialize(moved), "key", known_keys(uri_counts, language, mode).withColumn("__there", F.lit(True)), "inner").select(par_key, "uri")
+    return known_mentions(found, redirects, uri_counts, par_key, language, mode)
+
+
+def known_mentions(links: DataFrame, redirects: DataFrame, uri_counts: DataFrame, par_key: str = "par_key", language: str = "en", mode: str = "compat", closed: bool = False) -> DataFrame:
+    """(``par_key``, ``uri``) of those links (``par_key``, ``uri``) whose target, after redirects, is known.
+
+    Distinct targets are resolved and looked up first, so that the links take
+    part in one look-up only. ``closed`` says that ``redirects`` comes from
+    closed_redirects().
+    """
+    links = materialize(links.select(par_key, "uri"))
+    moved = resolve(links.select("uri").where("uri is not null").distinct(), "uri", redirects, closed=closed)
+    moved = moved.select("uri", upper_first(F.col("resolved")).alias("to")).withColumn("key", known_key(F.col("to"), language, mode))
+    there = moved.join(known_keys(uri_counts, language, mode), "key", "left_semi").select("uri", "to")
+    return look_up(links, "uri", materialize(there), "inner").select(par_key, F.col("to").alias("uri"))
 
 
 def paragraph_tokens(paragraphs: DataFrame, par_key: str = "par_key", analyzer: str = "en.EnglishAnalyzer", stop_words: Collection[str] = ()) -> DataFrame:
@@ -58,16 +71,20 @@ def qualifying(mentions: DataFrame, min_contexts: int = 2) -> DataFrame:
 def token_counts(mentions: DataFrame, tokens: DataFrame, par_key: str = "par_key", min_contexts: int = 2) -> DataFrame:
     """(``uri``, ``token``, ``count``) with counts over 1.
 
-    A target that a paragraph mentions twice counts the paragraph's tokens
-    twice. Mentions are first counted per paragraph and target, tokens per
-    paragraph, so the join multiplies small states instead of rows, and sums
-    are combined before the last shuffle: neither a hub target nor a token
-    gathers in one task.
+    ``tokens`` has either one row per paragraph and token (``par_key``,
+    ``token``, ``n``) or one row per paragraph with ``tokens``, an array of
+    struct<token, n>. A target that a paragraph mentions twice counts the
+    paragraph's tokens twice. Mentions are first counted per paragraph and
+    target, tokens per paragraph, so the join multiplies small states instead
+    of rows, and sums are combined before the last shuffle: neither a hub
+    target nor a token gathers in one task.
     """
     good = qualifying(mentions, min_contexts).select("uri").withColumn("__there", F.lit(True))
     each = materialize(mentions.groupBy(par_key, "uri").agg(F.count(F.lit(1)).alias("times")))
     each = look_up(each, "uri", good, "inner").drop("__there")
     joined = each.join(tokens, par_key)
+    if "tokens" in tokens.columns:
+        joined = joined.select("uri", "times", F.inline("tokens"))
     return joined.groupBy("uri", "token").agg(F.sum(F.col("times") * F.col("n")).alias("count")).where("count > 1")
 
 
@@ -82,6 +99,12 @@ def ranked_tokens(counts: DataFrame, uris: DataFrame) -> DataFrame:
     return uris.select("uri").distinct().join(ranked, "uri", "left").select("uri", F.coalesce("tokens", empty).alias("tokens"))
 
 
+def numbered_paragraphs(mentions: DataFrame, par_key: str = "par_key") -> DataFrame:
+    """(``uri``, ``par_id``): the mentions with their paragraphs numbered from 1 in the order of ``par_key``."""
+    numbers = with_line_numbers(mentions.select(par_key).distinct(), [par_key], "par_id")
+    return mentions.join(numbers, par_key).select("uri", "par_id")
+
+
 def token_line(tokens: Column) -> Column:
     """The array as text: {(token,count),(token,count)}."""
     return F.concat(F.lit("{"), F.array_join(F.transform(tokens, lambda x: F.concat(F.lit("("), x.token, F.lit(","), x["count"].cast("string"), F.lit(")"))), ","), F.lit("}"))

@@ -6,19 +6,25 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_PARTS = 500  # a key is hot from 1/500 of the rows on: at most 500 keys can be
+HOT_PARTS = 500  # so many keys at most are treated as hot
+HOT_ROWS = 10_000  # a key with fewer rows is no burden for a task, whatever share it has
+SMALL_BYTES = 8 << 20  # planned size up to which no key can be a burden
 
 
-def hot_keys(rows: DataFrame, key: str, parts: int = HOT_PARTS) -> list:
-    """Keys that hold at least one ``parts``-th of the rows with a non-null key.
+def hot_keys(rows: DataFrame, key: str, parts: int = HOT_PARTS, floor: int = HOT_ROWS) -> list:
+    """The most frequent keys with at least ``floor`` rows, ``parts`` of them at most.
 
-    There are at most ``parts`` of them, whatever the input, so they may stand
-    on the driver and be broadcast. Counts are combined before the shuffle.
+    Every key that holds a ``parts``-th of the rows is among them, and their
+    number is bounded whatever the input, so they may stand on the driver and
+    be broadcast. One job; counts are combined before the shuffle.
     """
-    some = rows.select(key).where(F.col(key).isNotNull())
-    total = some.count()
-    counts = some.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return [r[0] for r in counts.where(F.col("__n") * parts >= total).select(key).collect()] if total > parts else []
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return [r[0] for r in counts.where(F.col("__n") >= floor).orderBy(F.desc("__n")).limit(parts).collect()]
+
+
+def planned_bytes(rows: DataFrame) -> int:
+    """Size that the optimizer plans with: for a scan the size of its files, known without a job."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def _few_rows(rows: DataFrame, key: str, values: list) -> DataFrame:
@@ -35,11 +41,13 @@ def look_up(rows: DataFrame, key: str, table: DataFrame, how: str = "left", part
     other rows go through a shuffle. ``how`` is "left" or "inner". ``hot`` are
     the hot keys where the caller knows them, at most ``parts``; otherwise the
     rows are counted first, so they should be cheap to read twice. A null key
-    finds nothing. Columns other than the key must not clash.
+    finds nothing. Columns other than the key must not clash. Rows of a small
+    planned size are joined without a search for hot keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
-    hot = hot_keys(rows, key, parts) if hot is None else hot
+    if hot is None:
+        hot = hot_keys(rows, key, parts) if planned_bytes(rows) > SMALL_BYTES else []
     names = [*rows.columns, *(c for c in table.columns if c != key)]
     if not hot:
         return rows.join(table, key, how).select(*names)

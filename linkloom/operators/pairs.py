@@ -25,7 +25,12 @@ def paragraph_links(rows: DataFrame, paragraph: str = "paragraph", nested: bool
     """One row per accepted link of a paragraph: the other columns, ``uri`` and ``sf``; links that occur again come out again."""
     keep = [c for c in rows.columns if c != paragraph]
     found = rows.where(F.contains(paragraph, F.lit("[["))).select(*keep, F.explode(L.links(F.col(paragraph), nested)).alias("link"))
-    found = found.select(*keep, "link.uri", "link.sf")
+    return accepted_links(found, min_length, max_length, max_tokens)
+
+
+def accepted_links(rows: DataFrame, min_length: int = 2, max_length: int = 80, max_tokens: int = 4) -> DataFrame:
+    """Rows with a column ``link`` (struct<uri, sf>): the other columns, ``uri`` and ``sf`` of the links accepted."""
+    found = rows.select(*[c for c in rows.columns if c != "link"], "link.uri", "link.sf")
     return found.where(L.accepted(F.col("uri"), F.col("sf"), min_length, max_length, max_tokens))
 
 
@@ -34,20 +39,23 @@ def count_pairs(links: DataFrame) -> DataFrame:
     return links.groupBy("uri", "sf").agg(F.count(F.lit(1)).alias("count"))
 
 
-def resolved_pairs(raw: DataFrame, redirects: DataFrame, titles: DataFrame, min_count: int = 3) -> DataFrame:
+def resolved_pairs(raw: DataFrame, redirects: DataFrame, titles: DataFrame, min_count: int = 3, closed: bool = False) -> DataFrame:
     """(``uri``, ``sf``, ``count``) of the pairs kept, after redirects, whose target has a page.
 
     Pairs under ``min_count`` and forms that end with a comma go first, before
     redirects bring pairs together; nulls in uri or form are left out; targets
     get an upper-case first letter and must be among ``titles``. Rows that
-    come to be the same pair are added up.
+    come to be the same pair are added up. ``closed`` says that ``redirects``
+    comes from closed_redirects().
     """
     kept = raw.where(F.col("uri").isNotNull() & F.col("sf").isNotNull() & (F.col("count") >= min_count) & ~F.endswith("sf", F.lit(",")))
-    moved = resolve(materialize(kept.select("uri", "sf", "count")), "uri", redirects)
-    moved = moved.select(upper_first(F.col("resolved")).alias("uri"), "sf", "count").groupBy("uri", "sf").agg(F.sum("count").alias("count"))
-    moved = materialize(moved)
-    there = titles.select(F.col("title").alias("uri")).where("uri is not null").distinct().withColumn("__there", F.lit(True))
-    return look_up(moved, "uri", there, "inner").drop("__there")
+    kept = materialize(kept.select("uri", "sf", "count"))
+    there = titles.select(F.col("title").alias("to")).where("to is not null").distinct()
+    # distinct targets are resolved and tested, so that pairs take part in one look-up only
+    moved = resolve(kept.select("uri").distinct(), "uri", redirects, closed=closed)
+    moved = materialize(moved.select("uri", upper_first(F.col("resolved")).alias("to")).join(there, "to", "left_semi").select("uri", "to"))
+    found = look_up(kept, "uri", moved, "inner")
+    return found.groupBy(F.col("to").alias("uri"), "sf").agg(F.sum("count").alias("count"))
 
 
 def pair_counts(resolved: DataFrame, language: str = "en") -> DataFrame:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import upper_first
-from ..session import materialize
-from .lookup import look_up
+from ..session import materialize, materialize_with
+from .lookup import SMALL_BYTES, hot_keys, look_up, planned_bytes
 
 HOPS = 15  # fixed value: a chain is followed so far and no further
 
@@ -33,24 +33,39 @@ def _next(keys: DataFrame, key: str, hop: DataFrame) -> DataFrame:
     return got.select(*keys.columns, F.coalesce(F.col("__targets")[F.col(key)], F.col("__targets")[F.col("__upper")]).alias("__next"))
 
 
+def _then(hops: DataFrame, more: DataFrame, hot: list | None) -> DataFrame:
+    """``hops`` continued by ``more``: (``title``, ``target``, ``moved``)."""
+    got = look_up(hops.select("title", "target"), "target", more.select(F.col("title").alias("target"), F.col("target").alias("__then")), hot=hot)
+    return got.select("title", F.coalesce("__then", "target").alias("target"), F.col("__then").isNotNull().alias("moved"))
+
+
 def closed_redirects(redirects: DataFrame) -> DataFrame:
     """(``title``, ``target``) with the target after HOPS hops, cycles included.
 
-    15 = 8 + 4 + 2 + 1: the hops of the targets are composed to 2, 4 and 8 hops
-    by three self joins, then applied to the first hop.
+    Only targets that redirect themselves are followed, by path doubling: their
+    hop is composed to 2, 4 and 8 hops, and 8 + 4 + 2 make the 14 hops after
+    the first. Where no chain goes on, as without cycles after a step or two,
+    the last composition is the end of every chain. The whole table takes part
+    in one look-up.
     """
     table = materialize(redirect_table(redirects, "title", "target"))  # once per title, no nulls
     targets = table.select(F.col("target").alias("title")).distinct()
-    one = materialize(_next(targets, "title", table).where("__next is not null").select("title", F.col("__next").alias("target")))
-    steps = []
+    is_there = F.count(F.lit(1)).alias("n")
+    one, seen = materialize_with(_next(targets, "title", table).where("__next is not null").select("title", F.col("__next").alias("target")), n=is_there)
+    if not seen["n"]:
+        return table
+    hot = [] if planned_bytes(one) <= SMALL_BYTES else hot_keys(one, "target")
+    steps, ends = [one], None
     for _ in range(3):
-        twice = look_up(one, "target", one.select(F.col("title").alias("target"), F.col("target").alias("__then")))
-        one = materialize(twice.select("title", F.coalesce("__then", "target").alias("target")))
-        steps.append(one)
-    for step in steps:
-        moved = look_up(table, "target", step.select(F.col("title").alias("target"), F.col("target").alias("__then")))
-        table = materialize(moved.select("title", F.coalesce("__then", "target").alias("target")))
-    return table
+        twice, seen = materialize_with(_then(steps[-1], steps[-1], hot), moved=F.count_if("moved"))
+        steps.append(twice)
+        if not seen["moved"]:
+            ends = twice
+            break
+    if ends is None:
+        _, two, four, eight = steps
+        ends = materialize(_then(_then(eight, four, hot), two, hot))
+    return materialize(_then(table, ends, None).select("title", "target"))
 
 
 def resolve(rows: DataFrame, uri: str, redirects: DataFrame, name: str = "resolved", closed: bool = False) -> DataFrame:

@@ -14,7 +14,7 @@ class Config:
     dump_file: str = "data/enwiki"
     stop_words: str = "data/stopwords.en.list"
     analyzer: str = "en.EnglishAnalyzer"
-    tmp_folder: str = "data/tmp/"
+    tmp_folder: str | None = None  # folder for redirects, form counts and the inverted index as text; None writes none
     output_folder: str = "data/output/"
     max_length_sf: int = 80
     min_length_sf: int = 2
@@ -37,7 +37,7 @@ _KEYS = {"lucene_analyzer": "analyzer", "MAX_LENGTH_SF": "max_length_sf", "MIN_L
 def from_properties(path: str | Path) -> Config:
     """Read "key = value" lines; "#" and "!" begin comments; unknown keys are
     ignored, missing ones keep their defaults, and folders get a slash."""
-    kinds = {f.name: type(f.default) for f in fields(Config)}
+    kinds = {f.name: type(f.default) if f.default is not None else str for f in fields(Config)}
     given: dict = {}
     for line in Path(path).read_text(encoding="utf-8").splitlines():
         line = line.strip()

@@ -171,7 +171,8 @@ def flat_page_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    return P.with_fields(table(spark, d, "page").select("page_id", "page").dropDuplicates(["page_id"])).withColumnRenamed("page_id", "page_key")
+    """The dump's pages as they come; one that comes again is a page of its own."""
+    return P.with_fields(table(spark, d, "page").select("page_id", "page")).withColumnRenamed("page_id", "page_key")
 
 
 def page_paragraphs(spark: SparkSession, d: str) -> DataFrame:
@@ -200,7 +201,8 @@ WIKI = Config(min_occurence_couple=1, min_nb_contexts=1, filter_by_size=False, m
 
 
 def _pass(spark: SparkSession, d: str):  # noqa: ANN202
-    pages = pipeline.parsed_pages(table(spark, d, "page").select("page_id", "page").dropDuplicates(["page_id"]), WIKI)
+    stop = [r.word for r in table(spark, d, "stop_words").where("lang = 'en'").select("word").collect()]
+    pages = pipeline.parsed_pages(table(spark, d, "page"), WIKI, stop)
     return pages, pipeline.link_stats(pages, WIKI)
 
 
@@ -218,8 +220,7 @@ def wiki_sf_total_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wiki_token_counts(spark: SparkSession, d: str) -> DataFrame:
-    stop = [r.word for r in table(spark, d, "stop_words").where("lang = 'en'").select("word").collect()]
-    ranked = pipeline.context_counts(*_pass(spark, d), WIKI, stop)
+    ranked = pipeline.context_counts(*_pass(spark, d), WIKI)
     return ranked.select(context.wiki_uri(F.col("uri")).alias("uri"), context.token_line(F.col("tokens")).alias("tokens"))
 
 

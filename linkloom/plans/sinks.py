@@ -40,9 +40,13 @@ def write_sf_total_counts(counts: DataFrame, path: str) -> None:
     _lines(counts, F.col("sf"), F.col("link_count"), F.col("text_count"), path=path)
 
 
-def write_mentions(mentions: DataFrame, par_key: str, path: str) -> None:
-    """The inverted index: target, then its paragraphs, one line per target and paragraph block."""
-    _lines(mentions.orderBy("uri", par_key), F.col("uri"), F.col(par_key), path=path, sep=",,")
+def write_mentions(mentions: DataFrame, path: str, min_contexts: int = 2) -> None:
+    """The inverted index, from (``uri``, ``par_id``): a line per target with at
+    least ``min_contexts`` mentions, sorted by target: the target and the
+    numbers of its paragraphs, one as often as it mentions the target. A line
+    holds all of a target's mentions, so those of one target meet in a task."""
+    each = mentions.where("uri is not null").groupBy("uri").agg(F.array_sort(F.collect_list("par_id")).alias("ids")).where(F.size("ids") >= min_contexts)
+    _lines(each.orderBy("uri"), F.col("uri"), F.array_join(F.transform("ids", lambda i: i.cast("string")), ",,"), path=path, sep=",,")
 
 
 def write_token_counts(ranked: DataFrame, path: str, language: str = "en") -> None:

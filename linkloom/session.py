@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -50,6 +50,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """materialize(), and aggregates over what was written, gathered by the
+    writing job itself: ``materialize_with(df, rows=F.count(F.lit(1)))``."""
+    seen = Observation()
+    return materialize(df.observe(seen, *[c.alias(name) for name, c in metrics.items()])), seen.get
+
+
 def release() -> None:
     """Remove every table that materialize() wrote."""
     while _written:

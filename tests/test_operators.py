@@ -124,17 +124,29 @@ def test_look_up_with_hot_key(spark):
     left = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(50)] + [(None, 7)], "k string, x int")
     right = spark.createDataFrame([("hot", 1), ("k3", 2)], "k string, y int")
     for how in ("left", "inner"):
-        got = lookup.look_up(left, "k", right, how, parts=4)
+        got = lookup.look_up(left, "k", right, how, hot=["hot"])
         assert sorted(got.collect(), key=str) == sorted(left.join(right, "k", how).select("k", "x", "y").collect(), key=str)
-    assert lookup.hot_keys(left, "k", 4) == ["hot"]
+        assert sorted(lookup.look_up(left, "k", right, how).collect(), key=str) == sorted(got.collect(), key=str)
+    assert lookup.hot_keys(left, "k", 4, 100) == ["hot"] and lookup.hot_keys(left, "k", 4) == []
+    assert len(lookup.hot_keys(left, "k", 4, 1)) == 4
+
+
+def test_look_up_searches_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "SMALL_BYTES", -1)
+    left = spark.range(25_000).selectExpr("if(id < 12000, 1, id) as k", "id as x")
+    right = spark.createDataFrame([(1, 1), (13_000, 2)], "k bigint, y int")
+    assert lookup.hot_keys(left, "k") == [1]
+    got = lookup.look_up(left, "k", right, "inner").groupBy("k").agg(F.count("x").alias("n"), F.max("y").alias("y"))
+    assert rows(got) == [(1, 12_000, 1), (13_000, 1, 2)]
 
 
 def test_look_up_of_structs(spark):
     key = F.struct(F.col("k").alias("a"), (F.col("x") % 2).alias("b"))
     left = spark.createDataFrame([("hot", 2 * i) for i in range(300)] + [(f"k{i}", i) for i in range(50)], "k string, x int").select(key.alias("key"), "x")
     right = spark.createDataFrame([("hot", 0, 1), ("k3", 1, 2)], "k string, x int, y int").select(key.alias("key"), "y")
-    assert len(lookup.hot_keys(left, "key", 4)) == 1
-    got = lookup.look_up(left, "key", right, "inner", parts=4)
+    hot = lookup.hot_keys(left, "key", 4, 100)
+    assert len(hot) == 1
+    got = lookup.look_up(left, "key", right, "inner", hot=hot)
     assert sorted((r.x, r.y) for r in got.collect()) == sorted([(2 * i, 1) for i in range(300)] + [(3, 2)])
 
 

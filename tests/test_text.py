@@ -1,5 +1,7 @@
 """Scalar functions against goldens traced by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ def test_unescape(spark):
     cases = {"A&amp;B": "A&B", "AT&amp;": "ATamp;", "x &lt;b": "x lt;b", "it&#039;s": "it';s", "a&nbsp;b": "a b", "&ndash;x": "–;x", " plain ": "plain", "": "", "&amp;nbsp;x": "x", "a&amp;nbsp;x": "a x"}
     assert [X.unescape(k) for k in cases] == [*cases.values()]
     assert column(spark, X.unescape_xml, [*cases, None]) == [*cases.values(), None]
+    parts = ["&amp;", "amp;", "&", "nbsp;", "&amp;nbsp;", " ", "x", "\n", "&ndash", "&quot;", ";"]
+    many = ["".join(random.Random(i).choices(parts, k=i % 7)) for i in range(300)]
+    assert column(spark, X.unescape_xml, many) == [X.unescape(x) for x in many]
 
 
 def test_upper_first(spark):
@@ -60,3 +65,4 @@ def test_long_hash(spark):
         return h - (1 << 64) if h >= 1 << 63 else h
 
     assert column(spark, X.long_hash_column, ["", "Paris", "été", None]) == [plain(""), plain("Paris"), plain("été"), None]
+    assert column(spark, X.long_hash_column, ["😀a", "x" * 500]) == [X.long_hash("😀a"), X.long_hash("x" * 500)]
