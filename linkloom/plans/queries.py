@@ -321,23 +321,24 @@ def _upper1(s: str) -> str:
 
 
 def _standard(s: str, source: str, prefix: str = "http://dbpedia.org/resource/") -> str:
-    """A relation (s, std_uri) for the strings ``s`` of ``source``."""
-    bad = "regexp_matches({0}, '%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?$)')"
-    steps = "".join(
-        f", CASE WHEN contains(a{i}, '%') AND NOT {bad.format(f'a{i}')} THEN url_decode(replace(a{i}, '+', ' ')) ELSE a{i} END AS a{i + 1}" for i in range(5)
-    )
+    """A relation (s, std_uri) for the strings ``s`` of ``source``; each step is a table, so no expression stands in another twice."""
+    bad = "regexp_matches(a, '%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?$)')"
     # Java reads full-width digits in a percent code as well
-    digits = "a00"
+    digits = "a"
     for i in range(10):
         digits = f"regexp_replace(regexp_replace({digits}, '%{chr(0xFF10 + i)}', '%{i}', 'g'), '(%[0-9A-Fa-f]){chr(0xFF10 + i)}', '\\1{i}', 'g')"
-    coded = "b2"
+    steps = "".join(f", d{i + 1} AS MATERIALIZED (SELECT s, CASE WHEN contains(a, '%') AND NOT {bad} THEN url_decode(replace(a, '+', ' ')) ELSE a END AS a FROM d{i})" for i in range(5))
+    coded = "b"
     for char, code in X.URI_ENCODED.items():
         coded = "replace({}, '{}', '{}')".format(coded, char.replace("'", "''"), code)
-    return f"""(SELECT s, '{prefix}' || {coded} AS std_uri FROM (
-        SELECT s, CASE WHEN contains(s, '/') AND NOT ends_with(s, '/') THEN regexp_extract(s, '[^/]*$') ELSE s END AS a00, {digits} AS a0{steps},
-               replace(regexp_replace(regexp_replace(a5, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), ' +', '_', 'g'), chr(9), '_') AS b0,
-               CASE WHEN b0 = '' THEN 'incorrect_uri' ELSE b0 END AS b1, upper(left(b1, 1)) || substr(b1, 2) AS b2
-        FROM (SELECT DISTINCT {s} AS s FROM {source})))"""
+    return f"""(
+        WITH own AS MATERIALIZED (SELECT DISTINCT {s} AS s FROM {source}),
+             tail AS MATERIALIZED (SELECT s, CASE WHEN contains(s, '/') AND NOT ends_with(s, '/') THEN regexp_extract(s, '[^/]*$') ELSE s END AS a FROM own),
+             d0 AS MATERIALIZED (SELECT s, CASE WHEN contains(a, '%') THEN {digits} ELSE a END AS a FROM tail){steps},
+             t AS MATERIALIZED (SELECT s, replace(regexp_replace(regexp_replace(a, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), ' +', '_', 'g'), chr(9), '_') AS b FROM d5),
+             u AS MATERIALIZED (SELECT s, CASE WHEN b = '' THEN 'incorrect_uri' ELSE b END AS b FROM t),
+             v AS MATERIALIZED (SELECT s, upper(left(b, 1)) || substr(b, 2) AS b FROM u)
+        SELECT s, '{prefix}' || {coded} AS std_uri FROM v)"""
 
 
 def _unescape(s: str) -> str:
@@ -345,6 +346,14 @@ def _unescape(s: str) -> str:
     return f"trim(replace(replace(replace(replace({s}, '&quot;', '\"'), '&apos;', chr(39)), '&amp;', '&'), '&nbsp;', ' '))"
 
 
+def _unescape_all(s: str) -> str:
+    """All escapes: the text cut at each "&", each part held against what may follow one; an escape that ends the text is none."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    cases = " ".join(f"WHEN starts_with(p, {q(m[1:])}) AND NOT (i = len(string_split({s}, '&')) AND p = {q(m[1:])}) THEN {q(c)} || substr(p, {len(m)})" for m, c in X.ESCAPES.items())
+    joined = f"array_to_string(list_transform(string_split({s}, '&'), lambda p, i: CASE WHEN i = 1 THEN p {cases} ELSE p END), '')"
+    return f"regexp_replace({joined}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
+
 _REDIRECT_OR_TITLE = "coalesce(nullif(trim(redirect), ''), trim(title))"
 _STRINGS = "(SELECT title AS s FROM page UNION SELECT redirect FROM page UNION SELECT surface_form FROM pair_counts UNION SELECT uri FROM pair_counts UNION SELECT resource FROM token_counts)"
 
@@ -376,9 +385,11 @@ def _words(s: str) -> str:
 
 _GRAMS = f"""
     w AS (SELECT doc_id, {_words("text")} AS w FROM documents),
-    g AS (SELECT array_to_string(w[i:i + k - 1], ' ') AS gram FROM w, unnest(range(1, len(w) + 1)) AS x(i), unnest(range(1, 5)) AS y(k) WHERE i + k - 1 <= len(w)),
-    c AS (SELECT gram, count(*) AS n FROM g GROUP BY gram),
-    f AS (SELECT surface_form AS sf, sum(coalesce(link_count, 0))::BIGINT AS n FROM (SELECT DISTINCT pair_id, surface_form, link_count FROM pair_counts) WHERE surface_form IS NOT NULL GROUP BY 1),
+    t AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM w),
+    l AS (SELECT t, lead(t) OVER o AS t2, lead(t, 2) OVER o AS t3, lead(t, 3) OVER o AS t4 FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    g AS (SELECT unnest([t, t || ' ' || t2, t || ' ' || t2 || ' ' || t3, t || ' ' || t2 || ' ' || t3 || ' ' || t4]) AS gram FROM l),
+    c AS MATERIALIZED (SELECT gram, count(*) AS n FROM g WHERE gram IS NOT NULL GROUP BY gram),
+    f AS MATERIALIZED (SELECT surface_form AS sf, sum(coalesce(link_count, 0))::BIGINT AS n FROM (SELECT DISTINCT pair_id, surface_form, link_count FROM pair_counts) WHERE surface_form IS NOT NULL GROUP BY 1),
     low AS (SELECT sf, lower(sf) AS l FROM f WHERE lower(sf) <> sf AND lower(sf) NOT IN (SELECT sf FROM f))"""
 
 _TOKENS = f"""
@@ -390,6 +401,8 @@ _CONTEXT = f"""{_TOKENS},
 
 SQL = {
     "link_pair_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, std_uri, count FROM res JOIN {_standard('uri', 'res')} ON s = uri",
+    "written_pair_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, std_uri, count FROM res JOIN {_standard('uri', 'res')} ON s = uri",
+    "written_uri_counts": f"WITH RECURSIVE {_RESOLVED} SELECT std_uri, sum(count)::BIGINT AS count FROM res JOIN {_standard('uri', 'res')} ON s = uri GROUP BY uri, std_uri",
     "uri_counts": f"WITH RECURSIVE {_RESOLVED} SELECT std_uri, sum(count)::BIGINT AS count FROM res JOIN {_standard('uri', 'res')} ON s = uri GROUP BY uri, std_uri",
     "sf_counts": f"WITH RECURSIVE {_RESOLVED} SELECT sf, sum(count)::BIGINT AS count FROM res GROUP BY sf",
     "pairs_by_count": f"WITH RECURSIVE {_RESOLVED} SELECT uri, sf, count FROM res ORDER BY count DESC, uri, sf",
@@ -414,6 +427,14 @@ SQL = {
         FROM {_STRINGS} WHERE s IS NOT NULL""",
     "standard_uris": f"SELECT s, std_uri FROM {_standard('s', _STRINGS)} WHERE s IS NOT NULL",
     "escaped_titles": f"SELECT s, replace(replace(url_encode(replace(replace(s, ' ', '_'), chr(9), '_')), '~', '%7E'), '%2A', '*') AS escaped FROM {_STRINGS} WHERE s IS NOT NULL",
+    # 31 * h + unit over UTF-16 units, in 128 bits modulo 2^64, then as a signed number
+    "string_hashes": f"""
+        WITH s AS (SELECT DISTINCT s FROM {_STRINGS} WHERE s IS NOT NULL),
+             u AS (SELECT s, flatten(list_transform(list_transform(CASE WHEN s = '' THEN [] ELSE string_split(s, '') END, lambda c: unicode(c)), lambda p:
+                   CASE WHEN p < 65536 THEN [p] ELSE [55296 + ((p - 65536) >> 10), 56320 + ((p - 65536) & 1023)] END)) AS units FROM s),
+             h AS (SELECT s, list_reduce(list_prepend(1125899906842597::HUGEINT, list_transform(units, lambda x: x::HUGEINT)), lambda h, x: (31 * h + x) % 18446744073709551616::HUGEINT) AS h FROM u)
+        SELECT s, CASE WHEN h >= 9223372036854775808::HUGEINT THEN h - 18446744073709551616::HUGEINT ELSE h END::BIGINT AS hash FROM h""",
+    "unescaped_text": f"SELECT DISTINCT page_id, {_unescape_all('text')} AS plain FROM page WHERE is_wikitext IS NOT NULL AND text IS NOT NULL",
     "redirect_resolution": f"WITH RECURSIVE {_TITLE_HOPS} SELECT u AS title, arg_max(cur, h) AS resolved FROM hop GROUP BY u",
     "existing_uris": f"""
         WITH RECURSIVE {_RESOLVED}, known AS (SELECT DISTINCT substr(std_uri, 29) AS key FROM {_standard('uri', 'res')}),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 
 
 def existing(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
@@ -20,6 +20,36 @@ def existing(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
     return found
 
 
+# The first bytes of compressed files, and the extensions by which files are read as such.
+COMPRESSED = {b"BZh": ".bz2", b"\x1f\x8b": ".gz"}
+
+
+def named_by_content(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """The files under names that tell how they are compressed.
+
+    A file is read by its extension; one whose first bytes tell otherwise (a
+    gzip file named .xml, a plain one named .gz) is copied to the shared
+    folder under a fitting name.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        fs = path.getFileSystem(conf)
+        stream = fs.open(path)
+        try:
+            first = bytes(b for b in (stream.read() for _ in range(3)) if b >= 0)
+        finally:
+            stream.close()
+        kind = next((x for magic, x in COMPRESSED.items() if first.startswith(magic)), "")
+        if next((x for x in COMPRESSED.values() if file.endswith(x)), "") != kind:
+            to = jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark)}/{path.getName().replace('.bz2', '').replace('.gz', '')}.dump{kind}")
+            jvm.org.apache.hadoop.fs.FileUtil.copy(fs, path, to.getFileSystem(conf), to, False, conf)
+            file = to.toString()
+        out.append(file)
+    return out
+
+
 def page_of(record: Column, end: str) -> Column:
     """The page in what follows a start delimiter, without the lines of both delimiters."""
     return F.regexp_replace(F.regexp_replace(F.substring_index(record, end, 1), "^[^\\n]*\\n", ""), "\\r?\\n[^\\n]*\\z", "")
@@ -30,10 +60,10 @@ def read_pages(spark: SparkSession, paths: Sequence[str] | str, start: str = "<p
 
     The delimiters' lines are left out and lines joined by "\\n"; a page that
     isn't closed is dropped; missing paths are skipped. Plain, gzip and bzip2
-    files are read by their extension as UTF-8; plain and bzip2 files are split
-    among tasks. ``limit`` gives exactly so many pages, whichever they are.
+    files, told apart by their first bytes, are read as UTF-8; plain and bzip2
+    files are split among tasks. ``limit`` gives exactly so many pages, whichever they are.
     """
-    files = existing(spark, paths)
+    files = named_by_content(spark, existing(spark, paths))
     if not files:
         return spark.createDataFrame([], "page string, path string")
     raw = spark.read.option("lineSep", start).text(files).select("value", F.col("_metadata.file_path").alias("path"))

@@ -4,12 +4,13 @@ import bz2
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
-from linkloom.functions.tokenizers import analyze, english, french, porter, register
+from linkloom.functions.tokenizers import analyze, english, french, french_light, porter, register, words_of
 from linkloom.operators import pairs
-from linkloom.plans import pipeline
+from linkloom.plans import pipeline, sinks
 from linkloom.plans.config import Config, from_properties
-from linkloom.sources.pages import line_chunks, read_lines, read_pages, read_words, with_line_numbers
+from linkloom.sources.pages import line_chunks, read_lines, read_pages, read_redirects, read_sf_counts, read_uri_counts, read_words, with_line_numbers
 from linkloom.streaming.pages import start_to_table, stream_pages, stream_pair_counts
 
 FILL = "The river runs through the valley of the northern province and past the old harbour of the town. "
@@ -47,6 +48,9 @@ def test_read_pages(spark, dumps):
     assert both.count() == 8 and both.select("path").distinct().count() == 2
     assert read_pages(spark, str(dumps / "a.xml"), limit=3).count() == 3
     assert read_pages(spark, str(dumps / "missing")).count() == 0
+    for name, like in (("d.dump", "b.xml.bz2"), ("e", "c.xml.gz"), ("f.gz", "a.xml"), ("g.bz2", "c.xml.gz")):  # content tells, not the name
+        (dumps / name).write_bytes((dumps / like).read_bytes())
+        assert read_pages(spark, str(dumps / name)).count() == 4, name
 
 
 def test_unclosed_page_is_dropped(spark, tmp_path):
@@ -94,6 +98,30 @@ def test_whole_run(spark, dumps):
     assert {*out} == {"pairCounts", "uriCounts", "sfAndTotalCounts", "tokenCounts"}
 
 
+@pytest.mark.parametrize("copies", [1, 2, 3])
+def test_repeated_pages_add_up(spark, copies):
+    """A page that is in the dump k times counts its context tokens k times, not k * k."""
+    text = "  <page>\n    <title>Paris</title>\n    <model>wikitext</model>\n" + "x" * 30 + '\n    <text xml:space="preserve">river and river [[Paris|the city]] or [[Paris|the city]].</text>'
+    config = Config(min_occurence_couple=1, min_nb_contexts=1, filter_by_size=False)
+    pages = pipeline.parsed_pages(spark.createDataFrame([(text,)] * copies, "page string"), config, ["and", "or", "the"])
+    got = {r.uri: {t.token: t["count"] for t in r.tokens} for r in pipeline.context_counts(pages, pipeline.link_stats(pages, config), config).collect()}
+    assert got == {"Paris": {"river": 4 * copies, "citi": 4 * copies}}
+
+
+def test_intermediate_files(spark, dumps):
+    (dumps / "stop").write_text("the\n")
+    config = Config(dump_file=str(dumps / "a.xml"), stop_words=str(dumps / "stop"), output_folder=f"{dumps}/out/", tmp_folder=f"{dumps}/tmp/", min_occurence_couple=2)
+    out = pipeline.run(spark, config)
+    assert read(dumps / "tmp/tmp_redirections_en") == ["Lutetia,,Paris"]
+    assert sorted(map(tuple, read_redirects(spark, out["tmp_redirections"]).collect())) == [("Lutetia", "Paris")]
+    assert sorted(map(tuple, read_sf_counts(spark, out["tmp_surface_form_counts"]).collect())) == [("Seine", 2), ("the city", 2)]
+    assert sorted(map(tuple, read_uri_counts(spark, out["uriCounts"]).collect())) == [("http://dbpedia.org/resource/Paris", 2), ("http://dbpedia.org/resource/Seine", 2)]
+    # paragraphs 1 and 2 are those of Paris, 3 that of Seine; the first mentions Paris by a redirect
+    assert read(dumps / "tmp/tmp_mentions_en") == ["Paris,,1,,3,,3", "Seine,,1,,2,,2"]
+    sinks.write_mentions(spark.createDataFrame([("A", 3), ("A", 1), ("B", 2), (None, 1), (None, 2)], "uri string, par_id bigint"), str(dumps / "index"), 2)
+    assert read(dumps / "index") == ["A,,1,,3"]
+
+
 @pytest.mark.parametrize("parts", [1, 8])
 def test_independent_of_partitions(spark, dumps, parts):
     pages = pipeline.parsed_pages(read_pages(spark, str(dumps / "a.xml")).repartition(parts))
@@ -114,6 +142,10 @@ def test_analyzers(spark):
     assert [porter(w) for w in ("caresses", "ponies", "relational", "hopping", "sky", "motoring", "generalizations", "falling")] == ["caress", "poni", "relat", "hop", "sky", "motor", "gener", "fall"]
     assert english("The king's horses, running quickly", frozenset({"the"})) == ["king", "hors", "run", "quickli"]
     assert french("L'avion d'été vole", frozenset()) == ["avion", "été", "vole"]
+    assert [french_light(w) for w in ("chevaux", "généraux", "journaux", "maisons", "nettement", "finissement", "professeur", "nationale", "formatrice", "attentive")] == ["cheval", "general", "journal", "maison", "nete", "fini", "profeseu", "national", "form", "atentif"]
+    assert words_of("U.S.A. x_y 3.14 1,000 o'clock a:b don’t, 漢字 かな カタカナ e\u0301t _a_ __ C-3PO " + "x" * 300) == ["U.S.A", "x_y", "3.14", "1,000", "o'clock", "a:b", "don’t", "漢", "字", "か", "な", "カタカナ", "e\u0301t", "_a_", "C", "3PO"]
+    with pytest.raises(ValueError, match="unknown analyzer"):
+        analyze(F.lit("a"), "en.Englsh")
     register("shout", lambda text, stop: text.upper().split())
     df = spark.createDataFrame([("a b",), (None,), ("",)], "t string")
     assert [r.x for r in df.select(analyze(df.t, "shout").alias("x")).collect()] == [["A", "B"], None, []]
