@@ -57,3 +57,23 @@ def look_up(rows: DataFrame, key: str, table: DataFrame, how: str = "left", part
     warm = marked.where("__hot").drop("__hot").join(F.broadcast(hot_table), key, how)
     cold = marked.where("__hot is null").drop("__hot").join(table, key, how)
     return warm.select(*names).unionByName(cold.select(*names))
+
+
+def join_split(left: DataFrame, right: DataFrame, key: str, hot: list | None = None, salts: int = 64) -> DataFrame:
+    """Inner join on ``key``, which both sides may repeat, with hot keys split.
+
+    The rows of ``left`` with a hot key are dealt out to ``salts`` parts, and
+    the rows of ``right`` with such a key come to each of them, so no task
+    meets all rows of a key. ``hot`` are the hot keys of ``left`` where they
+    are known. Columns other than the key must not clash.
+    """
+    if hot is None:
+        hot = hot_keys(left, key) if planned_bytes(left) > SMALL_BYTES else []
+    if not hot:
+        return left.join(right, key)
+    few = F.broadcast(_few_rows(left, key, hot).withColumn("__hot", F.lit(True)))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    a = left.join(few, key, "left").withColumn("__part", F.when(F.col("__hot"), part).otherwise(0)).drop("__hot")
+    parts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    b = right.join(few, key, "left").withColumn("__part", F.explode(parts)).drop("__hot")
+    return a.join(b, [key, "__part"]).drop("__part")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .lookup import look_up
+from .lookup import join_split, look_up
 
 
 def key_states(rows: DataFrame, keys: Sequence[str], values: Mapping[str, str] | None = None) -> DataFrame:
@@ -67,13 +67,16 @@ def eager_join(
 
 def _join_states(a: DataFrame, b: DataFrame, on: list[str], many_left: bool, many_right: bool) -> DataFrame:
     """States of one join key are one row, or one per grouping value: only then can a join key be hot."""
-    if many_left == many_right:  # both unique: nothing to split; both many: left to adaptive skew splitting
+    if not many_left and not many_right:  # both unique: nothing to split
         return a.join(b, on)
-    many, one = (a, b) if many_left else (b, a)
     key = on[0] if len(on) == 1 else "__on"
     if len(on) > 1:
-        many, one = many.withColumn(key, F.struct(*on)), one.withColumn(key, F.struct(*on)).drop(*on)
-    return look_up(materialize(many), key, one, "inner").drop("__on")
+        a, b = a.withColumn(key, F.struct(*on)), b.withColumn(key, F.struct(*on)).drop(*on)
+    if many_left and many_right:
+        return join_split(materialize(a), b, key).drop("__on")
+    if many_right:
+        a, b = (b, a) if len(on) == 1 else (b.withColumns({c: F.col(key)[c] for c in on}), a.drop(*on))
+    return look_up(materialize(a), key, b, "inner").drop("__on")
 
 
 def heavy_keys(rows: DataFrame, field: str, key: str, share: float = 0.02) -> DataFrame:
@@ -84,7 +87,10 @@ def heavy_keys(rows: DataFrame, field: str, key: str, share: float = 0.02) -> Da
     keys count in the total and are never reported; a null field is left out.
     """
     pairs = rows.select(F.col(f"`{field}`").alias("__field"), F.col(f"`{key}`").alias("__key"))
-    joined = eager_join(pairs, pairs, ["__field"], left_keys=["__key"])
+    states = materialize(key_states(pairs.where("__field is not null"), ["__field", "__key"]).withColumnRenamed("rows", "left_rows"))
+    # the field's own state is the sum of its keys' states, so the rows are read once
+    fields = states.groupBy("__field").agg(F.sum("left_rows").alias("right_rows"))
+    joined = look_up(states, "__field", fields, "inner")
     parts = round(1 / share)
     whole = abs(1 / share - parts) < 1e-9
     is_heavy = F.col("left_rows") * parts >= F.col("right_rows") if whole else F.col("left_rows") >= F.lit(share) * F.col("right_rows")

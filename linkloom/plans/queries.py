@@ -16,6 +16,7 @@ from ..functions.cleaning import FOR_CONTEXTS, FOR_LINKS, FOR_NGRAMS
 from ..functions.tokenizers import analyze
 from ..operators import context, ngrams, pairs
 from ..operators.redirects import redirect_table, resolve
+from ..operators.repeats import without_repeats
 from ..session import materialize, scratch_path
 from ..sources.pages import line_chunks, read_pages, read_uri_counts
 from ..sources.tables import spread, table
@@ -113,7 +114,7 @@ def string_hashes(spark: SparkSession, d: str) -> DataFrame:
 # -- links and redirects ----------------------------------------------------------
 def _raw_pairs(spark: SparkSession, d: str) -> DataFrame:
     """(uri, sf, count) of the table of partial counts; the target is the address's title."""
-    rows = table(spark, d, "pair_counts").select("pair_id", "surface_form", "uri", "link_count").dropDuplicates(["pair_id"])
+    rows = without_repeats(table(spark, d, "pair_counts").select("pair_id", "surface_form", "uri", "link_count"), "pair_id")
     title = F.translate(F.regexp_replace("uri", "^.*/resource/", ""), "_", " ")
     return rows.groupBy(title.alias("uri"), F.col("surface_form").alias("sf")).agg(F.sum(F.coalesce("link_count", F.lit(0))).alias("count"))
 
@@ -230,7 +231,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _forms(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "pair_counts").select("pair_id", "surface_form", "link_count").dropDuplicates(["pair_id"])
+    rows = without_repeats(table(spark, d, "pair_counts").select("pair_id", "surface_form", "link_count"), "pair_id")
     return rows.where("surface_form is not null").groupBy(F.col("surface_form").alias("sf")).agg(F.sum(F.coalesce("link_count", F.lit(0))).alias("count"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators import context, lookup, ngrams, pairs, skew
 from linkloom.operators.redirects import redirect_table, resolve
+from linkloom.operators.repeats import without_repeats
 
 RAW = [("Paris", "Paris", 5), ("paris", "the city", 3), ("Lutetia", "Lutece", 4), ("Lutetia", "rare", 2), ("Ghost", "Ghost", 9), ("Loop A", "loop", 3), ("Paris", "x,", 7), (None, "n", 9), ("Paris", None, 9)]
 REDIRECTS = [("Lutetia", "Old Paris"), ("Old Paris", "Paris"), ("Loop A", "Loop B"), ("Loop B", "Loop A")]
@@ -150,6 +151,34 @@ def test_look_up_of_structs(spark):
     assert sorted((r.x, r.y) for r in got.collect()) == sorted([(2 * i, 1) for i in range(300)] + [(3, 2)])
 
 
+@pytest.mark.parametrize("bound", [1 << 20, 0])
+def test_without_repeats(spark, bound):
+    data = [(1, "a"), (2, "b"), (2, "b"), (3, "c"), (3, "c"), (3, "c"), (None, "x"), (None, "x")]
+    df = spark.createDataFrame(data, "id int, __n string")
+    assert sorted(map(tuple, without_repeats(df, "id", bound).collect()), key=str) == sorted([*set(data), (None, "x")], key=str)
+    assert without_repeats(df.limit(0), "id", bound).count() == 0
+    assert rows(without_repeats(df.where("id < 2"), "id", bound)) == [(1, "a")]
+
+
+def test_join_split(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(300)] + [(None, 7)] + [(f"k{i}", i) for i in range(9)], "k string, x int")
+    right = spark.createDataFrame([("hot", i) for i in range(5)] + [("k3", 1), ("k3", 2), (None, 1)], "k string, y int")
+    want = rows(left.join(right, "k").select("k", "x", "y"))
+    for hot in (["hot"], [], None):
+        assert rows(lookup.join_split(left, right, "k", hot, 7).select("k", "x", "y")) == want
+
+
+def test_eager_join_of_many_states(spark):
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(rnd.choice("aab"), rnd.choice("xy"), rnd.randrange(3), 1) for _ in range(90)], "k string, j string, g int, v int")
+    right = spark.createDataFrame([(rnd.choice("abc"), rnd.choice("xy"), rnd.randrange(4), 2) for _ in range(70)], "k string, j string, h int, w int")
+    for lk, rk in ((["g"], ["h"]), ([], ["h"]), (["g"], []), ([], [])):
+        for on in (["k"], ["k", "j"]):
+            got = skew.eager_join(left, right, on, left_keys=lk, right_keys=rk, left_values={"lv": "v"}, right_values={"rv": "w"})
+            full = left.withColumnRenamed("j", "j" if len(on) > 1 else "lj").join(right, on).groupBy(*on, *lk, *rk).agg(F.count(F.lit(1)), F.sum("v"), F.sum("w"))
+            assert rows(got.select(*on, *lk, *rk, "rows", "lv_sum", "rv_sum")) == rows(full)
+
+
 def test_eager_join_equals_join(spark):
     rnd = random.Random(2)
     left = spark.createDataFrame([(rnd.choice(["a", "a", "a", "b", None]), rnd.choice([1, 2, None]), rnd.randrange(3)) for _ in range(200)], "k string, v int, g int")
