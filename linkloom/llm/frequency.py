@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.repeats import without_repeats
+from ..session import materialize
+
 
 def term_frequencies(
     rows: DataFrame, term: str, record: str, count: str, row_id: str | None = None, rare_below: int = 3, common_share: float = 0.2, blank_records: bool = True
@@ -16,7 +19,7 @@ def term_frequencies(
     term occurs with (non-blank ones if ``blank_records`` is false), and
     ``all_records`` that of the whole input. ``rare``: total < ``rare_below``;
     ``common``: records > ``common_share`` * all_records. Rows with one
-    ``row_id`` count once. An empty input gives no rows; extra columns are
+    ``row_id`` count once, those with a null id each. An empty input gives no rows; extra columns are
     ignored.
 
     Counts are combined by hash on the map side at every step: per (term,
@@ -24,10 +27,11 @@ def term_frequencies(
     """
     r, t = F.col(f"`{record}`"), F.col(f"`{term}`")
     n = F.coalesce(F.col(f"`{count}`"), F.lit(0)).cast("bigint")
-    if row_id:
-        rows = rows.select(row_id, *dict.fromkeys((term, record, count))).dropDuplicates([row_id])
     named = r.isNotNull() if blank_records else F.trim(r) != ""
-    cells = rows.select(t.alias("term"), F.when(named, r).alias("record"), n.alias("n")).groupBy("term", "record").agg(F.sum("n").alias("n"))
+    rows = rows.select(t.alias("term"), F.when(named, r).alias("record"), n.alias("n"), *([F.col(f"`{row_id}`").alias("__id")] if row_id else []))
+    if row_id:
+        rows = without_repeats(rows, "__id")
+    cells = materialize(rows.groupBy("term", "record").agg(F.sum("n").alias("n")))  # once for terms and records
     whole = cells.where("record is not null").groupBy("record").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("all_records"))
     per_term = cells.where("term is not null").groupBy("term").agg(F.sum("n").alias("total"), F.count("record").alias("records"))
     return per_term.crossJoin(F.broadcast(whole)).select(
