@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.repeats import without_repeats
 from ..sources.tables import table
 from .distinctive import score_terms
 from .frequency import term_frequencies
 from .groups import connected_groups, page_pairs
 from .leaks import find_leaks
-from .lookalikes import consistent_form, same_look_pairs
+from .lookalikes import consistent_form, same_look_classes, same_look_pairs
 from .markup import strip_markup
 from .mixing import mix_sources
 from .splitting import split_items
@@ -32,13 +33,27 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return same_look_pairs(table(spark, d, "pair_counts"), "pair_id", ["surface_form", "uri"])
 
 
-def p2_forms(spark: SparkSession, d: str) -> DataFrame:
-    """Counts of the pairs in their consistent form."""
-    rows = table(spark, d, "pair_counts").select("pair_id", "surface_form", "uri", "link_count").dropDuplicates(["pair_id"])
-    rows = consistent_form(rows.select("surface_form", "uri", "link_count"), "surface_form", "uri")
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The same links by class: one row per row that has any."""
+    return same_look_classes(table(spark, d, "pair_counts"), "pair_id", ["surface_form", "uri"])
+
+
+def _counted_forms(spark: SparkSession, d: str, by_table: bool) -> DataFrame:
+    rows = without_repeats(table(spark, d, "pair_counts").select("pair_id", "surface_form", "uri", "link_count"), "pair_id")
+    rows = consistent_form(rows.select("surface_form", "uri", "link_count"), "surface_form", "uri", by_table=by_table)
     return rows.groupBy("surface_form_form", "uri_form").agg(F.sum(F.coalesce("link_count", F.lit(0))).alias("links"), F.count(F.lit(1)).alias("parts"))
 
 
+def p2_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the pairs in their consistent form, a spelling of the table's where one is clean."""
+    return _counted_forms(spark, d, False)
+
+
+def p2_looks(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the pairs by the table of looks alone."""
+    return _counted_forms(spark, d, True)
+
+
 def _wiki_pages(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "page").where("is_wikitext and title is not null and coalesce(redirect, '') = ''")
     return strip_markup(pages.select("page_id", "text"))
@@ -113,7 +128,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_page_groups, p2_found, p2_forms, p3_found, p3_clean_text, p4_found, p4_scores, p5_found, p5_frequencies,
+    p1_found, p1_page_groups, p2_found, p2_classes, p2_forms, p2_looks, p3_found, p3_clean_text, p4_found, p4_scores, p5_found, p5_frequencies,
     p7_found, p7_leaks, p8_found, p8_report, p8_selection, p9_found, p9_pieces,
 )}
 
@@ -144,6 +159,17 @@ def _form(x: str) -> str:
     return f"nfc_normalize(replace(replace(translate({plain}, '{quoted[0]}', '{quoted[1]}'), 'Ⅲ', 'III'), 'ﬁ', 'fi'))"
 
 
+def _canonical(c: str) -> str:
+    """(value, form): of those that look the same the plain spelling, else the most frequent clean one, else the look itself.
+    Clean: composed, ordinary characters, no word of two scripts."""
+    odd, latin, other = "[\u00ad\u200b\u200c\u200d\u2060\ufeff\u00a0\u2007\u202fⅢﬁ！-～]", "[A-Za-zÀ-ɏ]", "[Ͱ-Ͽ]"
+    mixed = f"{latin}[^ ]*([Ѐ-ӿ]|{other})|([Ѐ-ӿ]|{other})[^ ]*{latin}|[Ѐ-ӿ][^ ]*{other}|{other}[^ ]*[Ѐ-ӿ]"
+    return f"""
+        SELECT value, coalesce(first_value(CASE WHEN clean THEN value END) OVER (PARTITION BY look ORDER BY clean DESC, regexp_matches(value, '[^ -~]'), n DESC, value ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), look) AS form
+        FROM (SELECT {c} AS value, count(*) AS n, {_form(c)} AS look, nfc_normalize({c}) = {c} AND NOT regexp_matches({c}, '{odd}') AND NOT regexp_matches({c}, '{mixed}') AS clean
+              FROM r WHERE {c} IS NOT NULL GROUP BY {c})"""
+
+
 _FREQ = """
     SELECT '{0}' AS field, {0} AS term, sum(coalesce({2}, 0))::BIGINT AS total, count(DISTINCT CASE WHEN {4} THEN {1} END) AS records,
            total < 3 AS rare, records * {5} > (SELECT count(DISTINCT {1}) FROM {3} WHERE {4}) AS common
@@ -162,7 +188,17 @@ SQL = {
                    WHERE surface_form IS NOT NULL AND uri IS NOT NULL AND pair_id IS NOT NULL)
         SELECT a.pair_id AS pair_id_a, b.pair_id AS pair_id_b FROM r a JOIN r b ON a.fs = b.fs AND a.fu = b.fu AND a.pair_id < b.pair_id
         WHERE a.s <> b.s OR a.u <> b.u""",
+    "p2_classes": f"""
+        WITH r AS (SELECT DISTINCT pair_id, surface_form AS s, uri AS u, {_form("surface_form")} AS fs, {_form("uri")} AS fu FROM pair_counts
+                   WHERE surface_form IS NOT NULL AND uri IS NOT NULL AND pair_id IS NOT NULL),
+             n AS (SELECT *, min(pair_id) OVER (PARTITION BY fs, fu) AS class_id, count(*) OVER (PARTITION BY fs, fu) - count(*) OVER (PARTITION BY s, u) AS links FROM r)
+        SELECT pair_id, class_id, links FROM n WHERE links > 0""",
     "p2_forms": f"""
+        WITH r AS (SELECT DISTINCT pair_id, surface_form AS s, uri AS u, link_count FROM pair_counts),
+             s AS ({_canonical("s")}), u AS ({_canonical("u")})
+        SELECT s.form AS surface_form_form, u.form AS uri_form, sum(coalesce(link_count, 0))::BIGINT AS links, count(*) AS parts
+        FROM r LEFT JOIN s ON r.s = s.value LEFT JOIN u ON r.u = u.value GROUP BY 1, 2""",
+    "p2_looks": f"""
         SELECT {_form("surface_form")} AS surface_form_form, {_form("uri")} AS uri_form, sum(coalesce(link_count, 0))::BIGINT AS links, count(*) AS parts
         FROM (SELECT DISTINCT pair_id, surface_form, uri, link_count FROM pair_counts) GROUP BY 1, 2""",
     "p4_found": f"""

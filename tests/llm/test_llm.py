@@ -14,7 +14,7 @@ from linkloom.llm.distinctive import score_terms  # noqa: E402
 from linkloom.llm.frequency import term_frequencies  # noqa: E402
 from linkloom.llm.groups import connected_groups, page_pairs  # noqa: E402
 from linkloom.llm.leaks import align, align_all, find_leaks, words  # noqa: E402
-from linkloom.llm.lookalikes import Trie, consistent_form, normalize_look, same_look_pairs  # noqa: E402
+from linkloom.llm.lookalikes import Trie, consistent_form, is_clean, normalize_look, same_look_classes, same_look_pairs  # noqa: E402
 from linkloom.llm.markup import clean_markup, read_markup, select_content, strip_markup  # noqa: E402
 from linkloom.llm.mixing import mix_sources  # noqa: E402
 from linkloom.llm.splitting import split_items, split_text  # noqa: E402
@@ -81,23 +81,52 @@ def test_normalize():
     assert len({normalize_look(c) for c in map(chr, range(32, 127))}) == 95
 
 
-def test_trie_walk():
+def test_trie_reach():
     t = Trie()
-    for w, n in (("peter", 5), ("petra", 2), ("été", 1)):
+    for w, n in (("peter", 5), ("petra", 2), ("été", 1), ("вода", 4), ("tom", 3), ("реtеr", 9), ("finish", 2)):
         t.add(w, n)
-    assert t.walk("реt\u200bеr") == (0, 5, "peter")
-    assert t.walk("ｅ\u0301te\u0301") == (0, 1, "été")
-    assert t.walk("pexer") is None and t.walk("pete") is None and t.walk("") is None
-    assert t.walk("pexer", 1) == (1, 5, "peter") and t.walk("pete", 1)[:1] == (1,)
+    assert t.reach("реt\u200bеr") == {"peter": (0, 5), "реtеr": (0, 9)} and t.canonical("реt\u200bеr") == "peter"
+    assert t.reach("ｅ\u0301te\u0301") == {"été": (0, 1)}
+    assert t.canonical("вoда") == "вода" and normalize_look("вода") == "вoдa"  # a spelling, where the table mixes scripts
+    assert t.canonical("ﬁnish") == "finish" and t.canonical("nothing") is None
+    assert not any(t.reach(x) for x in ("pexer", "pete", "", "tσm"))
+    assert t.reach("tσm", 0.5) == {"tom": (0.25, 3)} and t.canonical("τσm", 0.5) == "tom" and t.canonical("τσm", 0.25) is None
+    assert t.reach("pexer", 1) == {"peter": (1, 5), "реtеr": (1, 9)} and t.canonical("pete", 1) == "peter" and t.canonical("ppeter", 1) == "peter"
+
+
+def test_clean_spellings():
+    for s in ("Peter", "été", "вода", "漢字かな", "вода Peter", "x²", "", "a–b"):
+        assert is_clean(s), s
+    for s in ("Реtеr", "e\u0301", "Ｐeter", "a\u00a0b", "a\u200b", "ﬁ", "a\tb"):
+        assert not is_clean(s), s
 
 
 def test_consistent_form(spark):
-    df = spark.createDataFrame([(i, s, "x") for i, s in enumerate([*SAME, None, "", "peter", "бцшя", "бцшя\u200b"])], "i int, s string, s_form string")
-    got = {r.i: r.s_form for r in consistent_form(df, "s").collect()}
-    assert got == {**{i: "Peter" for i in range(6)}, 6: None, 7: "", 8: "peter", 9: "бцшя", 10: "бцшя"}
+    data = [*SAME, None, "", "peter", "бцшя", "бцшя\u200b", "вoда", "вода", "Реtrus", "Ｐetrus", "Tσm", "Tom"]
+    df = spark.createDataFrame([(i, s, "x") for i, s in enumerate(data)], "i int, s string, s_form string")
+    want = {**{i: "Peter" for i in range(6)}, 6: None, 7: "", 8: "peter", 9: "бцшя", 10: "бцшя", 11: "вода", 12: "вода", 13: "Petrus", 14: "Petrus", 15: "Tσm", 16: "Tom"}
+    assert {r.i: r.s_form for r in consistent_form(df, "s").collect()} == want
+    assert {r.i: r.s_form for r in consistent_form(df, "s", budget=0.25).collect()} == want | {15: "Tom"}
+    table = {r.i: r.s_form for r in consistent_form(df, "s", by_table=True).collect()}
+    assert table == want | {11: "вoдa", 12: "вoдa"}  # where the tries differ from the table
     assert consistent_form(df.limit(0), "s").count() == 0
 
 
+def test_most_frequent_clean_spelling(spark):
+    # no plain spelling: Cyrillic and Greek words of one look, the more frequent one is the form
+    df = spark.createDataFrame([("ορο",)] * 3 + [("оро",)] * 2 + [("oр\u200bo",)], "s string")
+    assert {r.s_form for r in consistent_form(df, "s").collect()} == {"ορο"}
+
+
+def test_many_shards(spark, monkeypatch):
+    from linkloom.llm import lookalikes
+
+    monkeypatch.setattr(lookalikes, "SHARD", 20)
+    names = [f"Name{i}" for i in range(500)]
+    df = spark.createDataFrame([(n,) for n in names] + [(n.replace("a", "а"),) for n in names], "s string")
+    assert {r.s_form for r in consistent_form(df, "s").collect()} == {*names}
+
+
 def test_same_look_pairs(spark):
     rnd = random.Random(4)
     data = [(i, rnd.choice(SAME[:4] + ["other", None]), rnd.choice(["u/a", "u/а", "u/b"]), 1) for i in range(200)]
@@ -107,6 +136,12 @@ def test_same_look_pairs(spark):
     want = sorted((a, b) for a in ok for b in ok if a < b and normalize_look(ok[a][1]) == normalize_look(ok[b][1]) and normalize_look(ok[a][2]) == normalize_look(ok[b][2]) and ok[a][1:3] != ok[b][1:3])
     for block in (3, 512):
         assert sorted(map(tuple, same_look_pairs(df, "id", ["s", "u"], block).collect())) == want
+    links = Counter(x for p in want for x in p)
+    classes = same_look_classes(df, "id", ["s", "u"]).collect()
+    assert {r.id: r.links for r in classes} == links and len(classes) == len(links)
+    look = {i: (normalize_look(r[1]), normalize_look(r[2])) for i, r in ok.items()}
+    assert all(r.class_id == min(i for i in links if look[i] == look[r.id]) for r in classes)
+    assert same_look_classes(df.limit(0), "id", ["s", "u"]).count() == 0
 
 
 # -- markup ---------------------------------------------------------------------
