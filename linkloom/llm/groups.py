@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import HOT_PARTS, look_up
-from ..session import materialize
+from ..operators.lookup import HOT_PARTS, HOT_ROWS, look_up
+from ..session import materialize, materialize_with
 
-BETA = 0.1  # rate of the exponential shifts: about the share of edges that a round leaves
-RADIUS = 3  # steps that a cluster may grow in one round
+BETA = 0.05  # rate of the exponential shifts: an edge is cut with about this probability, and clusters grow some log(n) / BETA steps at most
+STEPS = 4  # steps of growth between two writes
 
 
 def _shift(vertex: Column | str, level: int, beta: float) -> Column:
@@ -19,7 +19,7 @@ def _shift(vertex: Column | str, level: int, beta: float) -> Column:
     return -F.log(u) / F.lit(beta)
 
 
-def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, radius: int = RADIUS, max_rounds: int = 200) -> DataFrame:
+def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps: int = STEPS, max_rounds: int = 200) -> DataFrame:
     """Group the records that ``pairs`` link directly or through others.
 
     Returns (``member``, ``group``): every value that occurs in a pair of two
@@ -29,22 +29,22 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, radiu
     ignored. ``a`` and ``b`` need one orderable type.
 
     Each round is one low-diameter decomposition: vertex v starts a cluster at
-    time -shift(v), clusters grow one step at a time, and a vertex joins the
-    cluster that reaches it first, which is the one with the largest
-    shift(centre) - distance. Clusters contract to super-vertices, edges
-    between clusters go to the next round, and the assignments of all rounds
-    are composed at the end. Growth stops after ``radius`` steps; what it did
-    not reach is left to the next round, so the result doesn't depend on it.
-    The data of each round is written to the shared folder.
+    time -shift(v), clusters grow one step at a time until none grows any
+    more, and a vertex joins the cluster that reaches it first, which is the
+    one with the largest shift(centre) - distance. Clusters contract to
+    super-vertices, edges between clusters go to the next round, and the
+    assignments of all rounds are composed at the end. ``steps`` steps of
+    growth are one job; the data of each are written to the shared folder.
     """
     kind = pairs.schema[a].dataType
     edges = pairs.select(F.col(f"`{a}`").alias("u"), F.col(f"`{b}`").cast(kind).alias("v")).where("u <> v")
-    edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    edges = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    edges, seen = materialize_with(edges, n=F.count(F.lit(1)))
     levels: list[DataFrame] = []
-    while n := edges.count():
+    while seen["n"]:
         if len(levels) >= max_rounds:
             raise RuntimeError(f"edges are left after {max_rounds} rounds")
-        labels, edges = _decompose(edges, n, len(levels), beta, radius)
+        labels, edges, seen = _decompose(edges, seen["n"], len(levels), beta, steps)
         levels.append(labels)
     if not levels:
         return edges.select(F.col("u").alias("member"), F.col("v").alias("group"))
@@ -57,26 +57,31 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, radiu
     return look_up(done, "cluster", least, "inner").select(F.col("vertex").alias("member"), "group")
 
 
-def _decompose(edges: DataFrame, n: int, level: int, beta: float, radius: int) -> tuple[DataFrame, DataFrame]:
-    """(vertex, cluster) after ``radius`` steps of growth, and the edges between clusters, each once."""
+def _decompose(edges: DataFrame, n: int, level: int, beta: float, steps: int) -> tuple[DataFrame, DataFrame, dict]:
+    """(vertex, cluster) when growth has ended, the edges between clusters, each once, and their number."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # The first step needs no join: the neighbours' shifts follow from their names.
-    near = F.struct((_shift("v", level, beta) - 1).alias("reach"), F.col("v").alias("cluster"))
-    first = both.groupBy("u").agg(F.max(near).alias("best"), F.count(F.lit(1)).alias("degree"))
-    own = F.struct(_shift("u", level, beta).alias("reach"), F.col("u").alias("cluster"))
-    labels = materialize(first.select(F.col("u").alias("vertex"), "degree", F.greatest("best", own).alias("best")).select("vertex", "degree", "best.reach", "best.cluster"))
+    near, own = _shift("v", level, beta) - 1, _shift("u", level, beta)
+    first = both.groupBy("u").agg(F.max_by("v", near).alias("c"), F.max(near).alias("r"), F.count(F.lit(1)).alias("degree"))
+    better = F.col("r") > own
+    labels = first.select(F.col("u").alias("vertex"), F.when(better, F.col("c")).otherwise(F.col("u")).alias("cluster"), F.greatest("r", own).alias("reach"), "degree")
+    labels, seen = materialize_with(labels, most=F.max("degree"))
     # degrees add up to 2 n, so few vertices can be hot
-    hot = [r.vertex for r in labels.where(F.col("degree") * HOT_PARTS >= 2 * n).select("vertex").collect()] if n > HOT_PARTS else []
-    for _ in range(radius - 1):
-        near = look_up(both, "v", labels.select(F.col("vertex").alias("v"), "reach", "cluster"), "inner", hot=hot)
-        came = near.groupBy("u").agg(F.max(F.struct((F.col("reach") - 1).alias("reach"), "cluster")).alias("came"))
-        grown = came.withColumnRenamed("u", "vertex").join(labels, "vertex")
-        best = F.greatest("came", F.struct("reach", "cluster"))
-        labels = materialize(grown.select("vertex", best.alias("best")).select("vertex", "best.reach", "best.cluster"))
+    least = max(HOT_ROWS, 2 * n / HOT_PARTS)
+    hot = [r.vertex for r in labels.where(F.col("degree") >= least).select("vertex").collect()] if seen["most"] >= least else []
+    around = both.select("u", "v", F.lit(1.0).alias("way")).unionByName(labels.select(F.col("vertex").alias("u"), F.col("vertex").alias("v"), F.lit(0.0).alias("way")))
+    grown = True
+    while grown:  # at each step a vertex looks at its neighbours and itself
+        for _ in range(steps):
+            near = look_up(around, "v", labels.select(F.col("vertex").alias("v"), "cluster", "reach"), "inner", hot=hot)
+            reach = F.col("reach") - F.col("way")
+            labels = near.groupBy(F.col("u").alias("vertex")).agg(F.max_by("cluster", reach).alias("cluster"), F.max(reach).alias("reach"), F.max(F.when(F.col("way") == 0, F.col("reach"))).alias("before"))
+        labels, seen = materialize_with(labels, grown=F.count_if(F.col("reach") > F.col("before")))
+        grown = seen["grown"] > 0  # in the last of the steps
     left = look_up(edges, "u", labels.select(F.col("vertex").alias("u"), F.col("cluster").alias("cu")), "inner", hot=hot)
     right = look_up(left.select("cu", "v"), "v", labels.select(F.col("vertex").alias("v"), F.col("cluster").alias("cv")), "inner", hot=hot)
     between = right.where("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v"))
-    return labels.select("vertex", "cluster"), materialize(between.distinct())
+    return labels.select("vertex", "cluster"), *materialize_with(between.distinct(), n=F.count(F.lit(1)))
 
 
 def title_key(title: Column) -> Column:

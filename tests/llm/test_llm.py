@@ -57,10 +57,22 @@ def test_groups(spark, kind):
     assert {r.member: r.group for r in connected_groups(df, "a", "b").collect()} == brute_groups(pairs)
 
 
-def test_groups_of_strings_and_radius(spark):
+def test_groups_of_strings_and_rates(spark):
     df = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "y")], "a string, b string")
-    for radius in (1, 2, 4):
-        assert rows(connected_groups(df, "a", "b", radius=radius)) == [("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")]
+    for beta, steps in ((0.1, 1), (0.3, 3), (2.0, 2)):
+        assert rows(connected_groups(df, "a", "b", beta, steps)) == [("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")]
+
+
+def test_growth_ends_by_itself(spark, monkeypatch):
+    """One round over a long chain: every vertex joins the cluster with the largest shift less distance, and few edges are cut."""
+    from linkloom.llm import groups
+
+    n = 400
+    edges = spark.range(n).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    labels, left, seen = groups._decompose(edges, n, 0, 0.1, 3)
+    shift = {r.id: r.s for r in spark.range(n + 1).select("id", groups._shift("id", 0, 0.1).alias("s")).collect()}
+    assert {r.vertex: r.cluster for r in labels.collect()} == {v: max(range(n + 1), key=lambda c: shift[c] - abs(c - v)) for v in range(n + 1)}
+    assert left.count() == seen["n"] < 0.2 * n
 
 
 def test_page_pairs(spark):
