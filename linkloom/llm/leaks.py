@@ -13,12 +13,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..operators.lookup import SMALL_BYTES, hot_keys, join_split, look_up, planned_bytes
+from ..session import materialize, materialize_with
 
 WORD = re.compile(r"[^\W_]+")
 SEED_WORDS = 6  # words of a seed
 MIN_WORDS = 12  # every run of so many words of an item holds a chosen seed
 BROADCAST_BYTES = 32 << 20  # items up to this size go to the executors whole; beyond it seeds are joined by shuffle
+MAX_BITS = 1 << 29  # of the bitmap of seeds
 CHUNK_WORDS = 1 << 17  # words of documents that are aligned with an item at a time
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -98,15 +100,36 @@ def _hits_near(docs: DataFrame, kind: str, vocabulary: dict[str, int], seeds: np
     return docs.mapInPandas(run, f"doc {kind}, text string, hits array<struct<dpos:int,seed:bigint>>")
 
 
-def _hits_far(docs: DataFrame, kind: str, seeds: DataFrame, k: int) -> DataFrame:
-    """The same by a shuffle of all documents' seeds, for items beyond the size that may be broadcast."""
+def _seed_bits(seeds: DataFrame, n: int) -> np.ndarray:
+    """A bit for each seed at its lowest bits: about 16 bits a seed and at most MAX_BITS, so its size is bounded whatever the items."""
+    bits = min(MAX_BITS, 1 << max(16, (16 * n).bit_length()))
+    place = F.col("seed").bitwiseAND(bits - 1) + 1
+    parts = seeds.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in parts.collect():
+        at = (r.part - 1) * 4096
+        own = np.frombuffer(bytes(r.bits), np.uint8)[: len(out) - at]
+        out[at : at + len(own)] = own
+    return out
+
+
+def _hits_far(docs: DataFrame, kind: str, seeds: DataFrame, n: int, k: int) -> DataFrame:
+    """The same by a shuffle, for items beyond the size that may be broadcast:
+    a bitmap of the seeds leaves out nearly all that the items don't have
+    before anything moves, and seeds of very many documents are met by
+    broadcast, so none gathers in a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(_seed_bits(seeds, n))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = shared.value
+        last = len(bits) * 8 - 1
         for batch in batches:
-            yield _all_seeds(batch["doc"], batch["text"], k, "doc", "dpos")
+            every = _all_seeds(batch["doc"], batch["text"], k, "doc", "dpos")
+            at = every["seed"].to_numpy() & last
+            yield every[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
 
-    every = docs.mapInPandas(run, f"doc {kind}, dpos int, seed bigint")
-    hits = every.join(seeds.select("seed").distinct(), "seed", "left_semi")
+    near = materialize(docs.mapInPandas(run, f"doc {kind}, dpos int, seed bigint"))
+    hits = look_up(near, "seed", seeds.select("seed").distinct().withColumn("__there", F.lit(True)), "inner")
     per_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("dpos", "seed")).alias("hits"))
     return docs.join(per_doc, "doc")
 
@@ -243,16 +266,21 @@ def _aligned_near(docs: DataFrame, kind: str, ikind: str, rows: list[tuple], k:
     return docs.mapInPandas(run, f"doc {kind}, item {ikind}, score double, exact_words int, item_words int, doc_words int")
 
 
-def _rare_pairs(suspects: DataFrame, seeds: DataFrame, small: bool, k: int, min_words: int) -> DataFrame:
+def _met(held: DataFrame, chosen: DataFrame, limit: int) -> DataFrame:
+    """(doc, item, version) of the documents and items that share a seed; ``chosen`` goes to all tasks where it is small."""
+    chosen, seen = materialize_with(chosen, size=F.sum(F.octet_length(F.col("item").cast("string")) + 32))
+    met = held.join(F.broadcast(chosen), "seed") if (seen["size"] or 0) <= limit else join_split(held, chosen, "seed")
+    return materialize(met.select("doc", "item", "version").distinct())
+
+
+def _rare_pairs(held: DataFrame, seeds: DataFrame, limit: int, k: int, min_words: int) -> DataFrame:
     """Pairs of a document and an item that share the seed that fewest documents
     hold of some ``min_words`` words of the item: all pairs with an equal run of that length are among them."""
-    held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed")
-    common = held.distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
+    common = held.groupBy("seed").agg(F.count(F.lit(1)).alias("docs"))
     # an item of fewer than min_words words keeps its rarest seeds as well
     window = Window.partitionBy("item", "version").orderBy("ipos").rangeBetween(0, min_words - k)
     ranked = seeds.join(common, "seed", "left").withColumn("pick", F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("docs"), "ipos", "seed")).over(window))
-    chosen = ranked.where("pick.docs > 0").select("item", "version", F.col("pick.seed").alias("seed")).distinct()
-    return held.join(F.broadcast(chosen) if small else chosen, "seed").select("doc", "item", "version").distinct()
+    return _met(held, ranked.where("pick.docs > 0").select("item", "version", F.col("pick.seed").alias("seed")).distinct(), limit)
 
 
 def find_leaks(
@@ -270,7 +298,8 @@ def find_leaks(
     pair's row once per combination of differing rows. Extra columns are
     ignored.
 
-    Seeds are the runs of ``seed_words`` words of the items. Each seed that a
+    Seeds are the runs of ``seed_words`` words of the items; an item of fewer
+    words has none and is never found. Each seed that a
     document holds nominates the pair, however many documents hold it.
     With ``exact`` only pairs with ``min_words`` equal words in a row are
     found; for these it is enough to look, in each run of ``min_words`` words
@@ -283,7 +312,7 @@ def find_leaks(
     own = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{doc_text}`").alias("text")).where("doc is not null")
     kind, ikind = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     test = items.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("itext")).where((F.octet_length("itext") >= 2 * k - 1) & F.col("item").isNotNull())
-    test = test.withColumn("version", F.xxhash64("itext"))
+    test = test.withColumn("version", F.xxhash64("itext")).dropDuplicates(["item", "version"])
     n_bytes = test.agg(F.sum(F.octet_length("itext"))).first()[0] or 0
     small = n_bytes <= broadcast_bytes
     wanted = F.col("score") >= min_score
@@ -291,7 +320,7 @@ def find_leaks(
     if small and not exact:
         rows = [(r[0], r[1]) for r in test.select("item", "itext").toLocalIterator()]
         return _aligned_near(own, kind, ikind, rows, k, least).where(wanted).withColumnsRenamed(names)
-    seeds = materialize(_item_seeds(test, k))
+    seeds, seen = materialize_with(_item_seeds(test, k), n=F.count(F.lit(1)))
     if small:
         found = np.unique(np.array([r[0] for r in seeds.select("seed").distinct().toLocalIterator()], np.int64))
         if not len(found):
@@ -299,16 +328,21 @@ def find_leaks(
         vocabulary = {w: _hash(w) for r in test.select("itext").toLocalIterator() for w in words(r[0])}
         suspects = _hits_near(own, kind, vocabulary, found, k)
     else:
-        suspects = _hits_far(own.where("text is not null"), kind, seeds, k)
+        suspects = _hits_far(own.where("text is not null"), kind, seeds, seen["n"], k)
     suspects = materialize(suspects)
+    held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed").distinct()
     if exact:
-        pairs = _rare_pairs(suspects, seeds, small, k, min_words)
+        pairs = _rare_pairs(held, seeds, broadcast_bytes, k, min_words)
         wanted &= F.col("exact_words") >= min_words
     else:
-        held = suspects.select("doc", F.explode("hits").alias("h")).select("doc", "h.seed").distinct()
-        pairs = held.join(seeds.select("item", "version", "seed").distinct(), "seed").select("doc", "item", "version").distinct()
-    texts = F.broadcast(test) if small else test
-    cands = pairs.join(suspects.select("doc", "text"), "doc").join(texts, ["item", "version"])
+        pairs = _met(held, seeds.select("item", "version", "seed").distinct(), broadcast_bytes)
+    cands = pairs.join(suspects.select("doc", "text"), "doc")
+    if small:
+        cands = cands.join(F.broadcast(test), ["item", "version"])
+    else:  # an item may have come to very many documents
+        key = F.struct("item", "version").alias("__key")
+        hot = [] if planned_bytes(pairs) <= SMALL_BYTES else hot_keys(pairs.select(key), "__key")
+        cands = look_up(cands.select("doc", "text", key), "__key", test.select(key, "itext"), "inner", hot=hot).select("doc", "__key.item", "text", "itext")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -43,6 +43,8 @@ BLOCK_TAGS = frozenset(
     "p poem section select summary table tbody td tfoot th thead tr ul".split()
 )
 PATHLESS_TAGS = frozenset("body br col head hr html img includeonly input link meta noinclude nowiki wbr".split())
+# Tags around plain prose, and the names of text outside of tags and of a lone item.
+PROSE_TAGS = frozenset("article blockquote body div dd item li main p section td".split())
 DEPTH = 512  # of the tags that are kept open, as in browsers; a deeper tag adds nothing to the path
 # LaTeX environments by kind.
 CODE_ENVS = "verbatim|lstlisting|minted|Verbatim"
@@ -600,8 +602,10 @@ def select_content(nodes: list[tuple[str, str, str]], sigma: float = 1.0, streng
     For each path: text length per node and punctuation per node. Both are
     smoothed along the nodes by a Gaussian of ``sigma`` nodes, fused as a
     geometric mean with the path's own ratios, averaged per path and held
-    against ``strength`` times (mean less ``strength`` times the spread) of the
-    scores. Paths below it are dropped; structure takes no part and stays.
+    against ``strength`` times the mean of the scores. Paths below it are
+    dropped, but for two: structure takes no part and stays, and a path of
+    PROSE_TAGS alone, as text outside of all tags, is dropped only where it
+    holds no sentence, so short paragraphs beside long blocks are kept.
     """
     prose = [x for x in nodes if x[1] in ("text", "template")]
     if len(prose) < 2:
@@ -632,10 +636,9 @@ def select_content(nodes: list[tuple[str, str, str]], sigma: float = 1.0, streng
         by_path.setdefault(path, []).append(math.sqrt(a * b))
     fused = {p: sum(v) / len(v) for p, v in by_path.items()}
     every = [fused[p] for p, _, _ in prose]
-    mean = sum(every) / len(every)
-    spread = math.sqrt(sum((x - mean) ** 2 for x in every) / len(every))
-    limit = max(0.0, mean - strength * spread) * strength
-    return [x for x in nodes if x[1] not in ("text", "template") or fused[x[0]] >= limit]
+    limit = strength * sum(every) / len(every)
+    sentences = {path for path, kind, text in prose if kind == "text" and _PUNCT.search(text) and PROSE_TAGS.issuperset(path.split("/"))}
+    return [x for x in nodes if x[1] not in ("text", "template") or fused[x[0]] >= limit or x[0] in sentences]
 
 
 def clean_markup(text: str | None) -> tuple[str | None, list[str]]:

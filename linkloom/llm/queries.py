@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.repeats import without_repeats
@@ -68,6 +68,21 @@ def p3_clean_text(spark: SparkSession, d: str) -> DataFrame:
     return _wiki_pages(spark, d).select("page_id", "clean_text", F.concat_ws(",", "elements").alias("elements")).dropDuplicates(["page_id"])
 
 
+_FILL = "The river passes the old town, turns west, and ends, after many miles, in a lake."
+
+
+def p3_planted(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' words with known markup around them, cleaned again: what is planted must come out in its plain form and a navigation not at all."""
+    words = F.array_join(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), " ")
+    text = F.format_string(
+        f"&lt;nav&gt;[[A1|Home]] [[B1|About]]&lt;/nav&gt;\n== Head ==\n\n{_FILL} \'\'\'Bold\'\'\' %s, [[Target|shown]].\n\n* one\n* two\n\n&lt;pre&gt;x = [[1]]\n  y&lt;/pre&gt;\n\n{_FILL} So &lt;math&gt;a^{{2}}&lt;/math&gt; holds.\n\n"
+        "\\section{Next}\n1. first\n2. second\n\n{|\n! a !! b\n|-\n| 1 || 2\n|}\n\n&lt;div&gt;&lt;p&gt;" + _FILL + "&lt;ref&gt;note&lt;/ref&gt;&lt;/p&gt;&lt;/div&gt;",
+        words,
+    )
+    pages = table(spark, d, "documents").where("text is not null").select("doc_id", text.alias("text"))
+    return strip_markup(pages).select("doc_id", "clean_text", F.concat_ws(",", "elements").alias("elements"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     scores = score_terms(table(spark, d, "token_counts"), "resource", "token", "token_count", "row_id")
     return scores.where("record_count <= 3 and tf * 10 >= record_total").select("resource", "token")
@@ -119,6 +134,31 @@ def p8_selection(spark: SparkSession, d: str) -> DataFrame:
     return mix_sources(_documents(spark, d, "source"), table(spark, d, "mix_targets")).selection
 
 
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    """What the mix promises, by source: the repeats and, within a twentieth, the share."""
+    r = p8_report(spark, d)
+    missed = F.abs(F.col("reached_tokens") - F.col("target_tokens")) > 0.05 * F.col("target_tokens")
+    kept = F.when(F.col("short"), F.col("reached_tokens") == F.col("tokens") * F.col("max_repeats")).otherwise(~missed)
+    return r.select("source", "documents", "short", (F.col("most_copies") <= F.col("max_repeats")).alias("repeats_kept"), kept.alias("share_kept"))
+
+
+def p8_short_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that fall short are used whole, as often as they may be."""
+    mix = mix_sources(_documents(spark, d, "source"), table(spark, d, "mix_targets"))
+    return mix.selection.join(mix.report.where("short").select("source"), "source", "left_semi").select("doc_id", "source", "copies")
+
+
+def p9_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Each split text put together from its pieces less their overlaps, with what the pieces promise."""
+    cut = p9_pieces(spark, d)
+    by = Window.partitionBy("doc_id").orderBy("piece")  # the pieces of one text
+    before = F.coalesce(F.lag("end").over(by), F.lit(0))
+    part = F.substring(F.col("piece_text"), (before - F.col("start") + 1).cast("int"), F.length("piece_text"))
+    each = cut.select("doc_id", "piece", part.alias("part"), (F.col("n_tokens") <= 2000).alias("fits"), ((F.col("overlap") == 200) & ~F.col("halved")).alias("as_asked"))
+    got = each.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("piece", "part"))).alias("p"), F.min("fits").alias("fits"), F.min("as_asked").alias("as_asked"))
+    return got.select("doc_id", "fits", "as_asked", F.md5(F.array_join("p.part", "")).alias("text_md5"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return split_items(_documents(spark, d), "doc_id", "text", 2000, 200).where("piece = 0").select("doc_id")
 
@@ -128,8 +168,8 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_page_groups, p2_found, p2_classes, p2_forms, p2_looks, p3_found, p3_clean_text, p4_found, p4_scores, p5_found, p5_frequencies,
-    p7_found, p7_leaks, p8_found, p8_report, p8_selection, p9_found, p9_pieces,
+    p1_found, p1_page_groups, p2_found, p2_classes, p2_forms, p2_looks, p3_found, p3_clean_text, p3_planted, p4_found, p4_scores, p5_found, p5_frequencies,
+    p7_found, p7_leaks, p8_found, p8_report, p8_selection, p8_kept, p8_short_copies, p9_found, p9_pieces, p9_rebuilt,
 )}
 
 
@@ -201,6 +241,12 @@ SQL = {
     "p2_looks": f"""
         SELECT {_form("surface_form")} AS surface_form_form, {_form("uri")} AS uri_form, sum(coalesce(link_count, 0))::BIGINT AS links, count(*) AS parts
         FROM (SELECT DISTINCT pair_id, surface_form, uri, link_count FROM pair_counts) GROUP BY 1, 2""",
+    "p3_planted": f"""
+        SELECT doc_id, '## Head' || chr(10) || chr(10) || '{_FILL} Bold ' || array_to_string(regexp_extract_all(text, '[A-Za-z]+'), ' ') || ', shown.' || chr(10) || chr(10) || '- one' || chr(10) || '- two' || chr(10) || chr(10)
+               || '```' || chr(10) || 'x = [[1]]' || chr(10) || '  y' || chr(10) || '```' || chr(10) || chr(10) || '{_FILL} So $a^{{2}}$ holds.' || chr(10) || chr(10) || '# Next' || chr(10) || chr(10) || '1. first' || chr(10) || '2. second'
+               || chr(10) || chr(10) || '| a | b |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 | 2 |' || chr(10) || chr(10) || '{_FILL}' AS clean_text,
+               'heading,list,code,formula,table,inline' AS elements
+        FROM documents WHERE text IS NOT NULL""",
     "p4_found": f"""
         WITH c AS {_ROWS}, r AS (SELECT resource, sum(tf) AS n FROM c GROUP BY 1), t AS (SELECT token, count(*) AS k FROM c GROUP BY 1)
         SELECT resource, token FROM c JOIN r USING (resource) JOIN t USING (token) WHERE k <= 3 AND tf * 10 >= n""",
@@ -226,5 +272,15 @@ SQL = {
         WITH d AS (SELECT lower(trim(source)) AS source, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
              m AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats) AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1)
         SELECT source FROM m LEFT JOIN d USING (source) GROUP BY source, share, r HAVING coalesce(sum(n), 0) * r < share * (SELECT sum(n) FROM d)""",
+    "p8_kept": """
+        WITH d AS (SELECT lower(trim(source)) AS source, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+             m AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats) AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1)
+        SELECT source, count(n) AS documents, coalesce(sum(n), 0) * r < share * (SELECT sum(n) FROM d) AS short, true AS repeats_kept, true AS share_kept FROM m LEFT JOIN d USING (source) GROUP BY source, share, r""",
+    "p8_short_copies": """
+        WITH d AS (SELECT doc_id, lower(trim(source)) AS source, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+             m AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats)::BIGINT AS r FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+             s AS (SELECT source, r FROM m JOIN d USING (source) GROUP BY source, share, r HAVING sum(n) * r < share * (SELECT sum(n) FROM d))
+        SELECT doc_id, source, r AS copies FROM d JOIN s USING (source)""",
+    "p9_rebuilt": "SELECT doc_id, true AS fits, true AS as_asked, md5(text) AS text_md5 FROM documents WHERE octet_length(encode(text)) > 4 * 2000",
     "p9_found": "SELECT doc_id FROM documents WHERE octet_length(encode(text)) > 4 * 2000",
 }

@@ -28,7 +28,7 @@ def split_text(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens, r
     The fewest pieces that can hold the text get targets of equal length; each
     target moves to the strongest boundary within ``reach`` of a piece, the
     nearest of the strongest. A piece repeats the last ``overlap`` tokens
-    before its cut. If any piece is over the limit, more pieces are tried; a
+    before its cut. If any piece is over the limit, pieces are added; a
     text that four times as many can't hold keeps half the overlap, and one
     that can't be held with none is halved anywhere.
     """
@@ -44,7 +44,7 @@ def split_fitting(text: str, limit: int, overlap: int, tokens: tokenizers.Tokens
     pieces = least = -(-(n - overlap) // (limit - overlap))
     while True:
         length = (n + (pieces - 1) * overlap) / pieces
-        room = max(1, int(min(reach * length, max(1.0, limit - length) if pieces > 1 else length)))
+        room = max(1, int(reach * length))  # a full window, also where the pieces are nearly full: more pieces are added then
         cuts, last = [], 0
         for j in range(1, pieces):
             target = round(length + (j - 1) * (length - overlap))

@@ -230,6 +230,25 @@ def test_tag_paths():
     assert not any(x in clean for x in ("Home", "See also", "Imprint"))
 
 
+LONG = "In its long valley, the river runs, and ends, after many miles. " * 8
+
+
+@pytest.mark.parametrize(
+    "text,kept,gone",
+    [
+        ("Short line.\n\nShort line.\n\nShort line.\n\n{{Box\n| name = " + LONG + "\n| area = 3\n}}", ["Short line."], []),
+        ("Tiny.\n\n* " + LONG + "\n\nTiny two.", ["Tiny.", "Tiny two.", LONG.strip()], []),
+        ("<nav>Menu</nav><div><p>Real text, of which there is enough. And more.</p></div>", ["Real text"], ["Menu"]),
+        ("<nav>Home | About</nav><div><p>" + LONG + "</p><p>" + LONG + "</p></div><footer>Imprint</footer>", [LONG.strip()], ["Home", "Imprint"]),
+        ("<p>Short.</p>\n<p>Also short.</p>\n<div>" + LONG * 3 + "</div>", ["Short.", "Also short.", LONG.strip()], []),
+        ("<figure><img src=x><figcaption>A town</figcaption></figure><p>" + LONG + "</p><p>" + LONG + "</p>", [LONG.strip()], ["A town"]),
+    ],
+)
+def test_prose_is_never_lost(text, kept, gone):
+    clean = clean_markup(text)[0]
+    assert all(x in clean for x in kept) and not any(x in clean for x in gone), clean
+
+
 @pytest.mark.parametrize("unit", ["<div>", "<div>a\n", "<b>", "</p>", "<p>a"])
 def test_tag_paths_of_many_tags(unit):
     assert isinstance(clean_markup(unit * 5000)[0], str)
@@ -328,6 +347,41 @@ def test_leaks_of_two_texts_of_one_item(spark, near, exact):
     assert [(r.doc_id, r.item_id, r.exact_words) for r in got] == [(7, 1, 15)]
 
 
+@pytest.mark.parametrize("every", [8, 10, 12, 14])
+@pytest.mark.parametrize("near", [1 << 20, 0])
+def test_recall_of_edited_copies(spark, every, near):
+    """A copy of an item with one word in so many replaced, and no exact copy elsewhere."""
+    rnd = random.Random(every)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    items = [(i, " ".join(word() for _ in range(60))) for i in range(40)]
+    docs = []
+    for i, text in items:
+        own = text.split()
+        own[every // 2 :: every] = [f"new{i}_{k}" for k in range(len(own[every // 2 :: every]))]
+        docs.append((i, " ".join([word() for _ in range(80)] + own + [word() for _ in range(80)])))
+    d, t = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(d, t, broadcast_bytes=near).collect()}
+    assert len(got & {(i, i) for i, _ in items}) >= 0.9 * len(items) and len(got) <= len(items) + 2
+
+
+def test_hot_seeds_and_repeated_items(spark, monkeypatch):
+    """A passage in all documents, with every join of seeds split, and an item that stands twice."""
+    from linkloom.operators import lookup
+
+    monkeypatch.setattr(lookup, "SMALL_BYTES", -1)
+    monkeypatch.setattr("linkloom.llm.leaks.SMALL_BYTES", -1)
+    for module in ("linkloom.llm.leaks", "linkloom.operators.lookup"):
+        monkeypatch.setattr(f"{module}.hot_keys", lambda rows, key, *_: [r[0] for r in rows.groupBy(key).count().where("count > 20").select(key).limit(500).collect()])
+    common = "one of the most of the things that all texts here have in common"
+    items = [(1, common), (1, common), (2, "and " + common + " too"), (3, "a b c d e f g h i j k l m n"), (4, "one of the most")]
+    docs = [(i, f"x{i} {common} y{i}") for i in range(60)] + [(60, "nothing of it"), (61, "so a b c d e f g h i j k l m")]
+    d, t = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    for exact in (True, False):
+        for near in (1 << 20, 0):
+            got = [(r.doc_id, r.item_id) for r in find_leaks(d, t, broadcast_bytes=near, exact=exact).collect()]
+            assert sorted(got) == sorted([(i, j) for i in range(60) for j in (1, 2)] + [(61, 3)])
+
+
 def test_alignment_of_many():
     rnd = random.Random(9)
     item = rnd.choices("abcdefgh", k=30)
@@ -369,6 +423,31 @@ def test_mix(spark):
     assert mix_sources(d, t.limit(0)).report.count() == 0
 
 
+def test_mix_inclusion(spark):
+    """Within a source a document is drawn with odds that grow with the square root of its tokens."""
+    short, middle, long = "river " * 20, "river " * 80, "river " * 320
+    d = spark.createDataFrame([(i, (short, middle, long)[i % 3], "a") for i in range(6000)], "doc_id int, text string, source string")
+    t = spark.createDataFrame([("a", 0.2, 1)], "source string, target_share double, max_repeats int")
+    mix = mix_sources(d, t)
+    r = mix.report.first()
+    assert abs(r.reached_tokens / r.target_tokens - 1) < 0.005
+    drawn = Counter(x.n_tokens for x in mix.selection.collect())
+    a, b, c = (drawn[n] / 2000 for n in sorted(drawn))
+    sizes = sorted(drawn)
+    assert b / a == pytest.approx((sizes[1] / sizes[0]) ** 0.5, rel=0.05) and c / b == pytest.approx((sizes[2] / sizes[1]) ** 0.5, rel=0.05)
+
+
+def test_mix_of_many_sources_and_sizes(spark):
+    """Some documents certain by their length, some sources used several times over, hundreds of sources."""
+    rnd = random.Random(5)
+    docs = [(i, "word " * rnd.choice([1, 3, 40, 300]), f"s{i % 300}") for i in range(3000)]
+    d = spark.createDataFrame(docs, "doc_id int, text string, source string")
+    t = spark.createDataFrame([(f"S{i} ", 1 / 300, 3) for i in range(300)], "source string, target_share double, max_repeats int")
+    for r in mix_sources(d, t).report.collect():
+        assert r.reached_tokens <= 3 * r.tokens and r.most_copies <= 3
+        assert r.reached_tokens == 3 * r.tokens if r.short else abs(r.reached_tokens - r.target_tokens) <= 301
+
+
 # -- splitting ------------------------------------------------------------------------------
 TEXTS = {
     1: "\n\n".join("The river passes the old town. It turns west, then north; it ends there. " * rnd for rnd in (3, 5, 1, 7, 2, 9)),
@@ -425,6 +504,16 @@ def test_split_prefers_natural_boundaries():
     assert sum(TEXTS[1][b - 2 : b] in ("\n\n", ". ") or b == len(TEXTS[1]) for _, b, _ in spans) == len(spans)
 
 
+def test_split_of_nearly_full_pieces():
+    """The least number of pieces leaves no room for boundaries here, so one more is cut, at paragraphs."""
+    tokens = tokenizers.load()
+    text = "\n\n".join("The river passes the old town. It turns west, then north; it ends there. " * (1 + i * 7 % 4) for i in range(40))
+    n = tokens.count(text)
+    limit = (n + 2 * 20) // 3 + 1
+    spans = split_text(text, limit, 20, tokens)
+    assert len(spans) == 4 and all(text[b - 2 : b] == "\n\n" for _, b, _ in spans[:-1]) and max(s for _, _, s in spans) <= limit
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"])
 def test_other_tokenizers(name):
     t = tokenizers.load(tokenizers.FOLDER, name)
