@@ -101,17 +101,47 @@ class Trie:
     """Spellings by their own decomposed characters; an end holds the spelling and its weight."""
 
     __slots__ = ("root",)
-    END = ""
+    END, LOOKS = "", None  # keys of a node beside its characters
 
     def __init__(self) -> None:
         self.root: dict = {}
 
     def add(self, spelling: str, weight: int) -> None:
         node = self.root
-        for c in unicodedata.normalize("NFD", spelling):
+        for c in spelling if spelling.isascii() else unicodedata.normalize("NFD", spelling):
+            node.pop(self.LOOKS, None)
             node = node.setdefault(c, {})
         node.setdefault(self.END, {})[spelling] = weight
 
+    def _by_look(self, node: dict) -> dict[str, list[tuple[str, dict]]]:
+        """A node's edges by the first character of their look, kept for the next text that comes by."""
+        out = node.get(self.LOOKS)
+        if out is None:
+            out = {}
+            for c, child in node.items():
+                if c:
+                    own = _LOOKS[c]
+                    out.setdefault(own[:1], []).append((own, child))
+            node[self.LOOKS] = out
+        return out
+
+    def _reach_free(self, look: str) -> dict[str, tuple[float, int]]:
+        """The spellings reached at no cost: edges that look like what comes next, and those without a look."""
+        end, out = len(look), {}
+        todo: list[tuple[int, dict]] = [(0, self.root)]
+        while todo:
+            i, node = todo.pop()
+            edges = self._by_look(node)
+            if i < end:
+                for own, child in edges.get(look[i], ()):
+                    if len(own) == 1 or look.startswith(own, i):
+                        todo.append((i + len(own), child))
+            elif self.END in node:
+                out.update((s, (0.0, w)) for s, w in node[self.END].items())
+            for _, child in edges.get("", ()):
+                todo.append((i, child))
+        return out
+
     def reach(self, text: str, budget: float = 0.0) -> dict[str, tuple[float, int]]:
         """The spellings that ``text`` reaches at up to ``budget``: spelling -> (cost, weight).
 
@@ -121,6 +151,8 @@ class Trie:
         leaving one out. A character may look like several, as a ligature.
         """
         look = unicodedata.normalize("NFD", normalize_look(text))
+        if budget < NEAR:
+            return self._reach_free(look)
         end = len(look)
         todo: list[tuple[float, int, dict]] = [(0.0, 0, self.root)]
         best: dict[tuple[int, int], float] = {}
@@ -157,25 +189,33 @@ class Trie:
         return min(found)[3] if found else None
 
 
-SHARD = 2000  # spellings to a trie, about
+SHARD = 1000  # spellings asked for to a trie, about
 
 
 def canonical_spellings(rows: DataFrame, columns: list[str], budget: float = 0.0, weight: str | None = None) -> DataFrame:
     """(``column``, ``value``, ``canonical``) for every distinct non-plain value of ``columns``; plain values stand for themselves.
 
-    A column's whole vocabulary is dealt to tries by a hash of its spellings'
-    rough look, so all that look alike meet, about SHARD spellings come to a
-    trie, and no trie is hot whatever the data. ``weight`` names a column
-    with the number of times a row counts. An empty string and a null are plain.
+    A column's vocabulary is dealt to tries by a hash of its spellings' rough
+    look, so all that look alike meet, a few thousand spellings come to a
+    trie, and no trie is hot whatever the data. Only plain spellings that
+    can't be reached, as none that is asked for has their length, begin and
+    end, are left out (with a ``budget`` of 1 or more, which changes lengths,
+    none). ``weight`` names a column with the number of times a row counts. An
+    empty string and a null are plain.
     """
     times = F.lit(1) if weight is None else F.col(weight)
     each = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns]))
     words = rows.select(each, times.alias("n")).where("value is not null").groupBy("column", "value").agg(F.sum("n").alias("n"))
-    words, seen = materialize_with(words.withColumn("plain", F.col("value").rlike(PLAIN)), n=F.count(F.lit(1)))
+    words = materialize(words.withColumn("plain", F.col("value").rlike(PLAIN)))
     rough = F.pandas_udf(lambda s: s.map(rough_look), T.StringType())
-    keyed = words.where("plain").withColumn("rough", F.col("value")).unionByName(words.where("not plain").withColumn("rough", rough("value")))
+    odd, seen = materialize_with(words.where("not plain").withColumn("rough", rough("value")), n=F.count(F.lit(1)))
+    # plain words of a length, begin and end that no word asked for has can't be reached and need not be in a trie
+    part = F.xxhash64("column", F.length("rough"), F.substring("rough", 1, 3), F.substring("rough", -5, 5)).alias("part")
+    near = words.where("plain").withColumn("rough", F.col("value"))
+    if budget < 1:
+        near = near.withColumn("part", part).join(odd.select(part).distinct(), "part", "left_semi").drop("part")
     shards = seen["n"] // SHARD + 1
-    keyed = keyed.withColumn("shard", F.pmod(F.xxhash64("column", "rough"), F.lit(shards)).cast("int")).drop("rough")
+    keyed = near.unionByName(odd).withColumn("shard", F.pmod(F.xxhash64("column", "rough"), F.lit(shards)).cast("int")).drop("rough")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # a shard comes in one piece, perhaps over several batches
