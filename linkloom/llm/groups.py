@@ -10,6 +10,7 @@ from ..session import materialize, materialize_with
 
 BETA = 0.05  # rate of the exponential shifts: an edge is cut with about this probability, and clusters grow some log(n) / BETA steps at most
 STEPS = 4  # steps of growth between two writes
+GROWING = 0.01  # a round ends when no more than this share of the vertices grew in a step
 
 
 def _shift(vertex: Column | str, level: int, beta: float) -> Column:
@@ -19,7 +20,7 @@ def _shift(vertex: Column | str, level: int, beta: float) -> Column:
     return -F.log(u) / F.lit(beta)
 
 
-def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps: int = STEPS, max_rounds: int = 200) -> DataFrame:
+def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps: int = STEPS, growing: float = GROWING, max_rounds: int = 200) -> DataFrame:
     """Group the records that ``pairs`` link directly or through others.
 
     Returns (``member``, ``group``): every value that occurs in a pair of two
@@ -29,12 +30,15 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps
     ignored. ``a`` and ``b`` need one orderable type.
 
     Each round is one low-diameter decomposition: vertex v starts a cluster at
-    time -shift(v), clusters grow one step at a time until none grows any
-    more, and a vertex joins the cluster that reaches it first, which is the
-    one with the largest shift(centre) - distance. Clusters contract to
-    super-vertices, edges between clusters go to the next round, and the
-    assignments of all rounds are composed at the end. ``steps`` steps of
-    growth are one job; the data of each are written to the shared folder.
+    time -shift(v), clusters grow one step at a time until no more than a
+    share of ``growing`` of the vertices changes (0: until none does), and a
+    vertex joins the cluster that reaches it first, which is the one with the
+    largest shift(centre) - distance. Clusters contract to super-vertices,
+    edges between clusters go to the next round, and the assignments of all
+    rounds are composed at the end. What still grew, as the far ends of a few
+    long chains, is left to the next round, where it is shorter. ``steps``
+    steps of growth are one job; the data of each are written to the shared
+    folder.
     """
     kind = pairs.schema[a].dataType
     edges = pairs.select(F.col(f"`{a}`").alias("u"), F.col(f"`{b}`").cast(kind).alias("v")).where("u <> v")
@@ -44,7 +48,7 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps
     while seen["n"]:
         if len(levels) >= max_rounds:
             raise RuntimeError(f"edges are left after {max_rounds} rounds")
-        labels, edges, seen = _decompose(edges, seen["n"], len(levels), beta, steps)
+        labels, edges, seen = _decompose(edges, seen["n"], len(levels), beta, steps, growing)
         levels.append(labels)
     if not levels:
         return edges.select(F.col("u").alias("member"), F.col("v").alias("group"))
@@ -57,7 +61,7 @@ def connected_groups(pairs: DataFrame, a: str, b: str, beta: float = BETA, steps
     return look_up(done, "cluster", least, "inner").select(F.col("vertex").alias("member"), "group")
 
 
-def _decompose(edges: DataFrame, n: int, level: int, beta: float, steps: int) -> tuple[DataFrame, DataFrame, dict]:
+def _decompose(edges: DataFrame, n: int, level: int, beta: float, steps: int, growing: float) -> tuple[DataFrame, DataFrame, dict]:
     """(vertex, cluster) when growth has ended, the edges between clusters, each once, and their number."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # The first step needs no join: the neighbours' shifts follow from their names.
@@ -65,19 +69,20 @@ def _decompose(edges: DataFrame, n: int, level: int, beta: float, steps: int) ->
     first = both.groupBy("u").agg(F.max_by("v", near).alias("c"), F.max(near).alias("r"), F.count(F.lit(1)).alias("degree"))
     better = F.col("r") > own
     labels = first.select(F.col("u").alias("vertex"), F.when(better, F.col("c")).otherwise(F.col("u")).alias("cluster"), F.greatest("r", own).alias("reach"), "degree")
-    labels, seen = materialize_with(labels, most=F.max("degree"))
+    labels, seen = materialize_with(labels, most=F.max("degree"), n=F.count(F.lit(1)))
+    few = growing * seen["n"]
     # degrees add up to 2 n, so few vertices can be hot
     least = max(HOT_ROWS, 2 * n / HOT_PARTS)
     hot = [r.vertex for r in labels.where(F.col("degree") >= least).select("vertex").collect()] if seen["most"] >= least else []
     around = both.select("u", "v", F.lit(1.0).alias("way")).unionByName(labels.select(F.col("vertex").alias("u"), F.col("vertex").alias("v"), F.lit(0.0).alias("way")))
-    grown = True
-    while grown:  # at each step a vertex looks at its neighbours and itself
+    grown = few + 1
+    while grown > few:  # at each step a vertex looks at its neighbours and itself
         for _ in range(steps):
             near = look_up(around, "v", labels.select(F.col("vertex").alias("v"), "cluster", "reach"), "inner", hot=hot)
             reach = F.col("reach") - F.col("way")
             labels = near.groupBy(F.col("u").alias("vertex")).agg(F.max_by("cluster", reach).alias("cluster"), F.max(reach).alias("reach"), F.max(F.when(F.col("way") == 0, F.col("reach"))).alias("before"))
         labels, seen = materialize_with(labels, grown=F.count_if(F.col("reach") > F.col("before")))
-        grown = seen["grown"] > 0  # in the last of the steps
+        grown = seen["grown"]  # in the last of the steps
     left = look_up(edges, "u", labels.select(F.col("vertex").alias("u"), F.col("cluster").alias("cu")), "inner", hot=hot)
     right = look_up(left.select("cu", "v"), "v", labels.select(F.col("vertex").alias("v"), F.col("cluster").alias("cv")), "inner", hot=hot)
     between = right.where("cu <> cv").select(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v"))

@@ -69,10 +69,12 @@ def test_growth_ends_by_itself(spark, monkeypatch):
 
     n = 400
     edges = spark.range(n).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
-    labels, left, seen = groups._decompose(edges, n, 0, 0.1, 3)
+    labels, left, seen = groups._decompose(edges, n, 0, 0.1, 3, 0.0)
     shift = {r.id: r.s for r in spark.range(n + 1).select("id", groups._shift("id", 0, 0.1).alias("s")).collect()}
     assert {r.vertex: r.cluster for r in labels.collect()} == {v: max(range(n + 1), key=lambda c: shift[c] - abs(c - v)) for v in range(n + 1)}
     assert left.count() == seen["n"] < 0.2 * n
+    # without the last percent of growth a few edges more are left
+    assert groups._decompose(edges, n, 0, 0.1, 3, 0.01)[2]["n"] <= seen["n"] + 0.05 * n
 
 
 def test_page_pairs(spark):
