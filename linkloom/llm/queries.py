@@ -54,18 +54,18 @@ def p2_looks(spark: SparkSession, d: str) -> DataFrame:
     return _counted_forms(spark, d, True)
 
 
-def _wiki_pages(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "page").where("is_wikitext and title is not null and coalesce(redirect, '') = ''")
-    return strip_markup(pages.select("page_id", "text"))
+_ARTICLE = "is_wikitext and title is not null and coalesce(redirect, '') = ''"
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     # repeated rows have the same content: dropping them by what was found moves no text
-    return _wiki_pages(spark, d).select("page_id", F.explode("elements").alias("element")).distinct()
+    pages = strip_markup(table(spark, d, "page").where(_ARTICLE).select("page_id", "text"))
+    return pages.select("page_id", F.explode("elements").alias("element")).distinct()
 
 
 def p3_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    return _wiki_pages(spark, d).select("page_id", "clean_text", F.concat_ws(",", "elements").alias("elements")).dropDuplicates(["page_id"])
+    pages = without_repeats(table(spark, d, "page").where(_ARTICLE).select("page_id", "text"), "page_id")  # moves ids, no text but that of repeated pages
+    return strip_markup(pages).select("page_id", "clean_text", F.concat_ws(",", "elements").alias("elements"))
 
 
 _FILL = "The river passes the old town, turns west, and ends, after many miles, in a lake."
